@@ -1,0 +1,30 @@
+"""Joins with a checked broadcast side.
+
+A side is broadcast only when its size is bounded: either by construction
+(``limit``, a fixed vocabulary, a per-cluster table capped by a proven bound)
+or by a count taken here.  Above the bound the join is left to Catalyst and
+AQE (sort-merge with skew splitting, or a runtime broadcast when the measured
+size is small).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows we accept to ship to every executor for a small side.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def maybe_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``small`` only if it has at most ``max_rows`` rows.
+
+    The count reads at most ``max_rows + 1`` rows.
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return big.join(maybe_broadcast(small, max_rows), on, how)
