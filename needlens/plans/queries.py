@@ -64,3 +64,293 @@ def ctfidf_keywords_by_source(spark, sf_dir):
     kw = ctfidf_keywords(posts, "topic", "text")
     return kw.select(F.col("cluster").alias("source"), "rank", "term", "tf", "cf",
                      F.round("score", 9).alias("score"))
+
+
+# --- post field rules (P2-P5, P8) -------------------------------------------
+
+@query
+def sentiment_rescale(spark, sf_dir):
+    """P3, P4, P5 on events read as raw posts.
+
+    raw sentiment (0-5) = floor(value / 10) / 10, so some raw values are 0
+    and fall back to 2.5; interactions = props.k, else user_id, else 0.
+    """
+    ev = load(spark, sf_dir, "events")
+    raw = F.floor(F.col("value") / 10) / 10
+    k = F.get_json_object("props", "$.k").cast("long")
+    return ev.select(F.col("event_id").cast("string").alias("post_id"),
+                     P.sentiment_rescale(raw).alias("sentiment_lc"),
+                     P.interactions(k, F.col("user_id")).alias("interactions"),
+                     P.epoch_timestamp(F.unix_seconds(F.col("ts").cast("timestamp")))
+                     .cast("timestamp_ntz").alias("timestamp"))
+
+
+@query
+def network_norm(spark, sf_dir):
+    """P2 and P2b on a post type built as ``<lang>-<source>-post``."""
+    docs = load(spark, sf_dir, "documents")
+    pt = F.concat_ws("-", "lang", "source", F.lit("post"))
+    return docs.select("doc_id", pt.alias("post_type"),
+                       P.network(pt).alias("network"),
+                       P.network_b(F.lit(""), pt).alias("network_b"))
+
+
+@query
+def topic_norm(spark, sf_dir):
+    """P8 + S3: normalised topic names and the first document per name."""
+    docs = load(spark, sf_dir, "documents")
+    raw = F.concat(F.upper("lang"), F.lit("_"), F.col("source"), F.lit("-Feed "))
+    named = docs.select("doc_id", raw.alias("topic"), T.normalize_topic(raw).alias("topic_norm"))
+    return first_wins(named, ["topic_norm"], ["doc_id"], count_col="n_docs")
+
+
+# --- profiles (A4-A9, C9-C11, O1-O2) ----------------------------------------
+
+def _order_records(spark, sf_dir):
+    """orders joined to their customer as need records: nation = cluster,
+    market segment = user type, order priority -> experience level."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
+                                             "o_orderstatus")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    level = (F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("expert"))
+              .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("intermediate"))
+              .otherwise(F.lit("beginner")))
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_nationkey").alias("need_cluster_id"),
+        F.lower("c_mktsegment").alias("user_type"),
+        level.alias("experience_level"),
+        F.col("o_orderpriority").alias("root_cause"),
+        F.col("o_orderstatus").alias("source_topic"),
+        F.col("o_orderkey").alias("ord"))
+
+
+def _event_records(spark, sf_dir):
+    """events as need records: intensity = value / 100 clamped to [0, 1]."""
+    ev = load(spark, sf_dir, "events")
+    return ev.select(
+        "user_id", "event_type", "ts", "value",
+        F.col("event_type").alias("emotion"),
+        F.least(F.greatest(F.col("value") / 100, F.lit(0.0)), F.lit(1.0)).alias("intensity"),
+        F.col("event_id").alias("ord"))
+
+
+@query
+def personas(spark, sf_dir):
+    from needlens.operators.profile import personas as build
+    return build(_order_records(spark, sf_dir))
+
+
+@query
+def emotion_profile(spark, sf_dir):
+    from needlens.operators.profile import emotion_rows
+    recs = _event_records(spark, sf_dir).withColumn("need_cluster_id", F.col("user_id") % 10)
+    rows = emotion_rows(recs)
+    return rows.withColumn("mean_intensity", F.round("mean_intensity", 9))
+
+
+def _daily(spark, sf_dir):
+    """Daily series per topic (event type) over the last 14 days of the topic."""
+    from needlens.sources.series import daily_series
+    ev = load(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"), "ts",
+        F.col("value").alias("sentiment"),
+        F.get_json_object("props", "$.k").cast("long").alias("interactions"))
+    return daily_series(ev, days=14)
+
+
+@query
+def daily_series(spark, sf_dir):
+    return _daily(spark, sf_dir).withColumn("avg_sentiment", F.round("avg_sentiment", 9))
+
+
+@query
+def trend_series(spark, sf_dir):
+    """W5 + C11 per topic, plus the concatenated series of all topics ('*')."""
+    from needlens.operators.profile import series_trend
+    d = _daily(spark, sf_dir)
+    pts = d.select(F.col("topic").alias("series"), "topic", "day", "avg_sentiment").unionByName(
+        d.select(F.lit("*").alias("series"), "topic", "day", "avg_sentiment"))
+    out = series_trend(pts, "series", ["topic", "day"], "avg_sentiment")
+    return out.select(F.col("series").alias("topic"), "n_points",
+                      F.round("diff", 9).alias("diff"), "trend")
+
+
+def _velocity(spark, sf_dir):
+    from needlens.sources.series import topic_velocity
+    ev = load(spark, sf_dir, "events").select(F.col("event_type").alias("topic"), "ts")
+    return topic_velocity(ev, window_days=7)
+
+
+@query
+def trend_velocity(spark, sf_dir):
+    """A9 + C11 state form: per-topic velocity, and their unweighted mean ('*')."""
+    from needlens.functions.score import trend_from_velocity
+    v = _velocity(spark, sf_dir)
+    per_topic = v.select("topic", "recent", "prior", "velocity")
+    overall = v.agg(F.coalesce(F.avg(F.coalesce("velocity", F.lit(0.0))), F.lit(0.0)).alias("velocity")) \
+               .select(F.lit("*").alias("topic"), F.lit(None).cast("long").alias("recent"),
+                       F.lit(None).cast("long").alias("prior"), "velocity")
+    both = per_topic.unionByName(overall)
+    return both.select("topic", "recent", "prior", F.round("velocity", 9).alias("velocity"),
+                       trend_from_velocity(F.col("velocity")).alias("trend"))
+
+
+def _global_trend(spark, sf_dir) -> str:
+    """The one trend every cluster shares (one small row read on the driver)."""
+    row = trend_velocity(spark, sf_dir).filter(F.col("topic") == "*").select("trend").first()
+    return row["trend"] if row else "stable"
+
+
+def _opportunity(spark, sf_dir):
+    from needlens.functions.score import first_importance, first_satisfaction, opportunity
+    recs = _event_records(spark, sf_dir)
+    trend = _global_trend(spark, sf_dir)
+    agg = recs.groupBy("user_id", "event_type").agg(
+        F.count(F.lit(1)).alias("post_count"),
+        F.avg("intensity").alias("mean_intensity"),
+        F.bool_or(F.col("value") >= 480).alias("has_mature_solution"),
+        F.min("ord").alias("first_ord"))
+    imp = first_importance(F.col("post_count"), F.col("mean_intensity"))
+    sat = first_satisfaction(F.col("has_mature_solution"))
+    return agg.withColumn("opportunity", opportunity(imp, sat, F.col("mean_intensity"),
+                                                     F.col("has_mature_solution"),
+                                                     F.lit(trend))).withColumn("trend", F.lit(trend))
+
+
+@query
+def opportunity(spark, sf_dir):
+    """C9 + C10 (+ A6, A7) for need clusters = (user, event type)."""
+    o = _opportunity(spark, sf_dir)
+    return o.select("user_id", "event_type", "post_count",
+                    F.round("mean_intensity", 9).alias("mean_intensity"),
+                    "has_mature_solution",
+                    F.round("opportunity.importance", 9).alias("importance"),
+                    "opportunity.satisfaction", "opportunity.raw_score",
+                    "opportunity.intensity_weight", "opportunity.solution_weight",
+                    "opportunity.trend_boost", "opportunity.final_score",
+                    "trend", "first_ord")
+
+
+@query
+def top_clusters(spark, sf_dir):
+    """O1 + O2: the 10 best clusters by final score (ties: first seen)."""
+    from needlens.operators.ranking import top_n
+    o = _opportunity(spark, sf_dir).select("user_id", "event_type", "first_ord",
+                                           F.col("opportunity.final_score").alias("final_score"))
+    return top_n(o, [F.desc("final_score"), F.asc("first_ord")], 10, "rank")
+
+
+@query
+def source_sets(spark, sf_dir):
+    """A8 + U3: per nation, first 5 sorted distinct priorities (root causes)
+    and all sorted distinct order states (source topics)."""
+    from needlens.operators.profile import distinct_sorted
+    recs = _order_records(spark, sf_dir)
+    rc = distinct_sorted(recs, "need_cluster_id", "root_cause", 5, "top_scenarios")
+    st = distinct_sorted(recs, "need_cluster_id", "source_topic", None, "source_topics")
+    return rc.join(st, "need_cluster_id", "full").select(
+        "need_cluster_id",
+        F.array_join("top_scenarios", ",").alias("top_scenarios"),
+        F.array_join("source_topics", ",").alias("source_topics"))
+
+
+@query
+def creator_join(spark, sf_dir):
+    """Every order with its creator profile (left join)."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    return o.join(c, o.o_custkey == c.c_custkey, "left").select(
+        "o_orderkey", "o_custkey", "c_name", "c_mktsegment", "c_acctbal")
+
+
+@query
+def persona_matrix(spark, sf_dir):
+    """Nation x market segment record counts (pivot)."""
+    recs = _order_records(spark, sf_dir).withColumn("segment", F.upper("user_type"))
+    segments = [r[0] for r in recs.select("segment").distinct().orderBy("segment").collect()]
+    return (recs.groupBy("need_cluster_id").pivot("segment", segments).count().na.fill(0))
+
+
+@query
+def topics_over_time(spark, sf_dir):
+    """Records and distinct users per (topic, day)."""
+    ev = load(spark, sf_dir, "events")
+    return (ev.groupBy(F.col("event_type").alias("topic"), F.to_date("ts").alias("day"))
+              .agg(F.count(F.lit(1)).alias("n_posts"), F.countDistinct("user_id").alias("n_users")))
+
+
+@query
+def top_per_topic(spark, sf_dir):
+    """Top 50 records per topic by value (ties: event_id)."""
+    from pyspark.sql import Window
+    ev = load(spark, sf_dir, "events").select(F.col("event_type").alias("topic"), "event_id", "value")
+    w = Window.partitionBy("topic").orderBy(F.desc("value"), F.asc("event_id"))
+    return ev.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 50)
+
+
+@query
+def stage_metrics(spark, sf_dir):
+    """Ingest counts per source."""
+    from needlens.operators.metrics import ingest_metrics
+    posts = posts_from_documents(load(spark, sf_dir, "documents"))
+    return ingest_metrics(posts, "topic").withColumnRenamed("topic", "source")
+
+
+# --- keyed results and run history (K, R) -----------------------------------
+
+NOW = "2024-01-20 00:00:00"
+
+
+def _puts(spark, sf_dir):
+    from needlens.operators.results import cache_key, puts
+    ev = load(spark, sf_dir, "events")
+    key = cache_key(F.lit("events"), [F.col("event_type"), F.col("user_id")])
+    return puts(ev.withColumn("ts", F.col("ts").cast("timestamp")), key, F.col("props"),
+                F.col("ts"), F.floor(F.col("value") / 10), F.col("event_id"))
+
+
+@query
+def fresh_results(spark, sf_dir):
+    """K1 + K2 + W6: the fresh value of every key as of NOW."""
+    from needlens.operators.results import get_fresh
+    fresh = get_fresh(_puts(spark, sf_dir), F.lit(NOW).cast("timestamp"))
+    return fresh.select("cache_key", "value",
+                        F.col("written_at").cast("timestamp_ntz").alias("written_at"),
+                        F.col("expires").cast("timestamp_ntz").alias("expires"))
+
+
+@query
+def missing_keys(spark, sf_dir):
+    """K4 + J4: keys requested after NOW that have no fresh result."""
+    from needlens.operators.results import cache_key, get_fresh, misses
+    ev = load(spark, sf_dir, "events").filter(F.col("ts").cast("timestamp") > F.lit(NOW).cast("timestamp"))
+    req = ev.select(cache_key(F.lit("events"), [F.col("event_type"), F.col("user_id")]).alias("cache_key"),
+                    "event_type", "user_id").distinct()
+    fresh = get_fresh(_puts(spark, sf_dir), F.lit(NOW).cast("timestamp"))
+    return misses(req, fresh)
+
+
+def _status_events(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    status = (F.when(F.col("event_type") == "signup", F.lit("pending"))
+               .when(F.col("event_type").isin("view", "click"), F.lit("running"))
+               .when(F.col("event_type") == "purchase", F.lit("completed"))
+               .otherwise(F.lit("failed")))
+    return ev.select(F.col("user_id").cast("string").alias("run_id"), status.alias("status"),
+                     "ts", F.col("event_id").alias("seq"))
+
+
+@query
+def run_latest(spark, sf_dir):
+    """Current state of every run from its status events."""
+    from needlens.operators.results import run_state
+    return run_state(_status_events(spark, sf_dir))
+
+
+@query
+def run_list(spark, sf_dir):
+    """R2 + O3: runs newest first, numbered without a single-task window."""
+    from needlens.operators.ranking import global_row_number
+    from needlens.operators.results import run_state
+    runs = run_state(_status_events(spark, sf_dir)).select("run_id", "status", "created_at")
+    return global_row_number(runs, ["created_at", "run_id"], [False, True], "list_rank")
