@@ -390,6 +390,62 @@ WITH {runs}
 SELECT run_id, status, created_at,
        row_number() OVER (ORDER BY created_at DESC, run_id ASC) AS list_rank
 FROM runs"""
+
+    centroid_long = """
+cl AS (
+  SELECT label, CAST(pos - 1 AS INTEGER) AS dim, avg(x::DOUBLE) AS mean, count(*) AS n_points FROM (
+    SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS pos
+    FROM embeddings WHERE label IS NOT NULL)
+  GROUP BY 1, 2
+)"""
+
+    q["cluster_centroids"] = f"""
+WITH {centroid_long}
+SELECT label, dim, round(mean, 9) AS mean, n_points FROM cl"""
+
+    q["representatives"] = f"""
+WITH {centroid_long},
+c AS (SELECT label, list(mean ORDER BY dim) AS centroid FROM cl GROUP BY label),
+s AS (
+  SELECT e.label, e.vec_id,
+         CASE WHEN sqrt(list_dot_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[])) * sqrt(list_dot_product(c.centroid, c.centroid)) = 0 THEN 0.0::DOUBLE
+              ELSE list_dot_product(e.embedding::DOUBLE[], c.centroid)
+                   / (sqrt(list_dot_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[])) * sqrt(list_dot_product(c.centroid, c.centroid))) END AS sim
+  FROM embeddings e JOIN c USING (label)
+)
+SELECT label, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id ASC) AS rep_rank,
+       vec_id, round(sim, 9) AS sim
+FROM s QUALIFY rep_rank <= 5"""
+
+    q["radius_pairs"] = """
+SELECT a.vec_id AS id_a, b.vec_id AS id_b,
+       round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS dist
+FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+WHERE list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) <= 1.15::DOUBLE"""
+
+    q["density_clusters"] = """
+WITH RECURSIVE
+u AS (SELECT user_id, count(*)::DOUBLE AS n, avg(value) AS m FROM events GROUP BY user_id),
+st AS (SELECT avg(n) AS an, stddev_samp(n) AS sn, avg(m) AS am, stddev_samp(m) AS sm FROM u),
+z AS (SELECT user_id, (n - an) / sn AS x, (m - am) / sm AS y FROM u CROSS JOIN st),
+pairs AS (
+  SELECT a.user_id AS a, b.user_id AS b FROM z a JOIN z b ON a.user_id < b.user_id
+  WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.25::DOUBLE
+),
+ends AS (SELECT a AS node FROM pairs UNION ALL SELECT b FROM pairs),
+core AS (SELECT node FROM ends GROUP BY node HAVING count(*) >= 3),
+ce AS (SELECT a, b FROM pairs WHERE a IN (SELECT node FROM core) AND b IN (SELECT node FROM core)),
+sym AS (SELECT a AS src, b AS dst FROM ce UNION ALL SELECT b, a FROM ce),
+reach(node, comp) AS (
+  SELECT node, node FROM core
+  UNION
+  SELECT s.dst, r.comp FROM reach r JOIN sym s ON r.node = s.src
+),
+comp AS (SELECT node, min(comp) AS component FROM reach GROUP BY node),
+sizes AS (SELECT component, count(*) AS size, min(node) AS first_ord FROM comp GROUP BY component HAVING count(*) >= 5),
+ids AS (SELECT component, CAST(row_number() OVER (ORDER BY first_ord, component) - 1 AS INTEGER) AS cluster_id FROM sizes)
+SELECT u.user_id, ids.cluster_id
+FROM u LEFT JOIN comp ON comp.node = u.user_id LEFT JOIN ids ON ids.component = comp.component"""
     return q
 
 

@@ -354,3 +354,60 @@ def run_list(spark, sf_dir):
     from needlens.operators.results import run_state
     runs = run_state(_status_events(spark, sf_dir)).select("run_id", "status", "created_at")
     return global_row_number(runs, ["created_at", "run_id"], [False, True], "list_rank")
+
+
+# --- vectors, neighbours, density clustering (A10, C7, J5, C3) --------------
+
+@query
+def cluster_centroids(spark, sf_dir):
+    """A10: mean embedding per label, one row per dimension."""
+    from needlens.operators.vectors import centroids_long
+    emb = load(spark, sf_dir, "embeddings")
+    return centroids_long(emb, "label", "embedding").select(
+        "label", "dim", F.round("mean", 9).alias("mean"), "n_points")
+
+
+@query
+def representatives(spark, sf_dir):
+    """C7 + W2: the 5 embeddings closest (cosine) to their label's centroid."""
+    from needlens.operators.vectors import representatives as reps
+    emb = load(spark, sf_dir, "embeddings").withColumn("ord", F.col("vec_id"))
+    r = reps(emb, "label", "embedding", "ord", 5)
+    return r.select("label", "rep_rank", "vec_id", F.round("sim", 9).alias("sim"))
+
+
+RADIUS_EPS = 1.15
+
+
+@query
+def radius_pairs(spark, sf_dir):
+    """J5, pivot partitioning: all embedding pairs within Euclidean 1.15."""
+    from needlens.operators.neighbors import radius_pairs_pivot
+    emb = load(spark, sf_dir, "embeddings")
+    pairs = radius_pairs_pivot(emb, "vec_id", "embedding", RADIUS_EPS)
+    return pairs.select("id_a", "id_b", F.round("dist", 9).alias("dist"))
+
+
+DENSITY_EPS = 0.25
+
+
+def _user_features(spark, sf_dir):
+    """Per user: event count and mean value, z-scored (population stats are
+    one small row read on the driver)."""
+    ev = load(spark, sf_dir, "events")
+    u = ev.groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("n"),
+                                  F.avg("value").alias("m"))
+    st = u.agg(F.avg("n"), F.stddev_samp("n"), F.avg("m"), F.stddev_samp("m")).first()
+    return u.select("user_id",
+                    ((F.col("n") - F.lit(st[0])) / F.lit(st[1])).alias("x"),
+                    ((F.col("m") - F.lit(st[2])) / F.lit(st[3])).alias("y"))
+
+
+@query
+def density_clusters(spark, sf_dir):
+    """C3 (DBSCAN*, grid neighbours, min_samples 3, min size 5) on users."""
+    from needlens.operators.density import dbscan_from_pairs
+    from needlens.operators.neighbors import radius_pairs_grid
+    feats = _user_features(spark, sf_dir)
+    pairs = radius_pairs_grid(feats, "user_id", ["x", "y"], DENSITY_EPS)
+    return dbscan_from_pairs(feats, "user_id", pairs, 3, 5)
