@@ -411,3 +411,72 @@ def density_clusters(spark, sf_dir):
     feats = _user_features(spark, sf_dir)
     pairs = radius_pairs_grid(feats, "user_id", ["x", "y"], DENSITY_EPS)
     return dbscan_from_pairs(feats, "user_id", pairs, 3, 5)
+
+
+# --- model answers (P11-P16, F3) ------------------------------------------------
+
+def _raw_answers(spark, sf_dir):
+    """Raw extraction answers as a model returns them, derived from events:
+    plain, fenced, wrapped in prose, with ``\\'``, with a raw newline in a
+    string, not JSON at all, or an array; fields vary in type and presence.
+    The post text is ``event <id> of user <u> <type>``.  Built in stages so
+    no sub-expression is inlined more than once."""
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    e, u, t, k = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("k")
+    s = lambda c: c.cast("string")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+
+    def kv(name, val):  # concat is null when the value is null: the key is left out
+        return F.concat(F.lit(f'"{name}": '), val)
+
+    types = F.array(*[F.lit(x) for x in ("trader", "developer", "investor", "researcher", "casual", "alien")])
+    levels = F.array(*[F.lit(x) for x in ("beginner", "intermediate", "expert")])
+    pairs = [
+        kv("is_financial", F.when(t == "error", F.lit("false")).when(t == "view", F.lit(None))
+                            .otherwise(F.lit("true"))),
+        kv("entity", F.when(k % 4 == 0, F.lit('""')).when(k == 7, F.lit("5")).otherwise(q(t))),
+        kv("feature", q(F.concat(F.lit("f"), s(k)))),
+        kv("opinion", F.when(e % 7 == 3, F.lit("\"it\\'s bad\""))
+                       .when(e % 7 == 4, F.lit('"line1\nline2"'))
+                       .otherwise(q(F.concat(F.lit("opinion "), s(u))))),
+        kv("need_type", F.when(k % 13 == 0, F.lit('["explicit"]'))
+                         .when(k % 2 == 1, F.lit('"explicit"')).otherwise(F.lit('"implicit"'))),
+        kv("pain_point", F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, F.lit("null"))
+                          .otherwise(q(F.concat(F.lit("pain "), s(k))))),
+        kv("root_cause", F.when(u % 5 == 0, F.lit("12")).otherwise(q(F.concat(F.lit("cause"), s(u % 4))))),
+        kv("sentiment", F.when(u % 3 == 0, F.lit('"positive"')).when(u % 3 == 1, F.lit('"mixed"'))
+                         .otherwise(F.lit('"negative"'))),
+        kv("emotion", F.when(k % 5 == 0, F.lit('""')).otherwise(q(t))),
+        kv("intensity", F.when(e % 11 == 0, F.lit("null")).when(e % 13 == 0, F.lit(None))
+                         .when(e % 5 == 0, q(F.concat(s(k), F.lit("e-2"))))
+                         .otherwise(F.concat(s(k * 2), F.lit("e-2")))),
+        kv("evidence", F.when(k % 6 == 0, F.lit(None)).otherwise(q(F.concat(F.lit("ev "), s(e))))),
+        kv("user_type", q(F.element_at(types, (u % 6 + 1).cast("int")))),
+        kv("experience_level", q(F.element_at(levels, (e % 3 + 1).cast("int")))),
+    ]
+    body = ev.select("event_id", F.concat(F.lit("event "), s(e), F.lit(" of user "), s(u), F.lit(" "), t)
+                     .alias("text"),
+                     F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}")).alias("body"))
+    b, e = F.col("body"), F.col("event_id")
+    answer = (F.when(e % 7 == 1, F.concat(F.lit("```json\n"), b, F.lit("\n```")))
+               .when(e % 7 == 2, F.concat(F.lit("Here is the analysis: "), b, F.lit(" Hope this helps.")))
+               .when(e % 7 == 5, F.lit("Sorry, I cannot help with that."))
+               .when(e % 7 == 6, F.concat(F.lit("["), b, F.lit("]")))
+               .otherwise(b))
+    return body.select("event_id", "text", answer.alias("answer"))
+
+
+@query
+def extract_records(spark, sf_dir):
+    """P11-P16 + F3: validated need records from raw answers."""
+    from needlens.functions.respond import need_records, parse_answers
+    from needlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # model output is written before it is parsed (a stage table, S8)
+    raw = _raw_answers(spark, sf_dir).checkpoint(eager=True)
+    a = parse_answers(raw, "answer", "v")
+    r = need_records(a, "v", "text", "r")
+    return r.where("r.keep").select(
+        "event_id", "r.entity", "r.feature", "r.opinion", "r.need_type", "r.pain_point", "r.root_cause",
+        "r.sentiment", "r.emotion", "r.intensity", "r.evidence", "r.user_type", "r.experience_level")
