@@ -480,3 +480,46 @@ def extract_records(spark, sf_dir):
     return r.where("r.keep").select(
         "event_id", "r.entity", "r.feature", "r.opinion", "r.need_type", "r.pain_point", "r.root_cause",
         "r.sentiment", "r.emotion", "r.intensity", "r.evidence", "r.user_type", "r.experience_level")
+
+
+# --- composed stages (C4, C5, C12, C14, C15) --------------------------------------
+
+def _doc_posts(spark, sf_dir):
+    return collect(posts_from_documents(load(spark, sf_dir, "documents")), key="text")
+
+
+@query
+def topic_pipeline(spark, sf_dir):
+    """C4: topic clustering of the cleaned documents (hashing embedding)."""
+    from needlens.plans.topics import cluster_topics
+    t = cluster_topics(_doc_posts(spark, sf_dir))
+    return t.select("post_id", "cluster_id", "topic_label",
+                    F.array_join("topic_keywords", ",").alias("topic_keywords"))
+
+
+def _doc_clusters(spark, sf_dir):
+    from needlens.plans.needs import aggregate_needs, extract_needs, kept_records
+    from needlens.plans.topics import cluster_topics
+    topics = cluster_topics(_doc_posts(spark, sf_dir)).checkpoint(eager=True)
+    recs = kept_records(extract_needs(topics)).checkpoint(eager=True)
+    return aggregate_needs(recs, "stable")
+
+
+@query
+def need_clusters(spark, sf_dir):
+    """L2 + L3 (C5, C8 default, C12): ranked need clusters of the documents."""
+    c = _doc_clusters(spark, sf_dir)
+    return c.select("rank", "need_cluster_id", "cluster_name", "post_count",
+                    F.col("opportunity.final_score").alias("final_score"),
+                    F.array_join("keywords", ",").alias("keywords"))
+
+
+@query
+def pipeline_specs(spark, sf_dir):
+    """The full run on the documents; one row per spec."""
+    from needlens.plans.run import run
+    res = run(posts_from_documents(load(spark, sf_dir, "documents")), dedup_key="text")
+    if res.specs is None:
+        return spark.createDataFrame([], "rank long, skill_name string, need_name string, final_score double, post_count long")
+    return res.specs.select("rank", "skill_name", "need_name",
+                            F.col("opportunity.final_score").alias("final_score"), "post_count")
