@@ -446,8 +446,9 @@ sizes AS (SELECT component, count(*) AS size, min(node) AS first_ord FROM comp G
 ids AS (SELECT component, CAST(row_number() OVER (ORDER BY first_ord, component) - 1 AS INTEGER) AS cluster_id FROM sizes)
 SELECT u.user_id, ids.cluster_id
 FROM u LEFT JOIN comp ON comp.node = u.user_id LEFT JOIN ids ON ids.component = comp.component"""
-    from needlens.plans import oracle_answers
+    from needlens.plans import oracle_answers, oracle_specs
     oracle_answers.add(q)
+    oracle_specs.add(q, opp)
     return q
 
 

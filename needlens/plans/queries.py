@@ -523,3 +523,81 @@ def pipeline_specs(spark, sf_dir):
         return spark.createDataFrame([], "rank long, skill_name string, need_name string, final_score double, post_count long")
     return res.specs.select("rank", "skill_name", "need_name",
                             F.col("opportunity.final_score").alias("final_score"), "post_count")
+
+
+# --- specs and report on event clusters (C13, P20, P21, J6, S7, W7) ---------------
+
+def _top_event_clusters(spark, sf_dir):
+    """The 10 best (user, event type) clusters with the L3 fields refinement needs."""
+    from needlens.operators.ranking import top_n
+    recs = _event_records(spark, sf_dir)
+    o = _opportunity(spark, sf_dir)
+    span = recs.groupBy("user_id", "event_type").agg(F.min("ts").alias("first_ts"),
+                                                     F.max("ts").alias("last_ts"))
+    o = o.join(span, ["user_id", "event_type"]).withColumn(
+        "_final", F.col("opportunity.final_score"))
+    return top_n(o, [F.desc("_final"), F.asc("first_ord")], 10, "rank").drop("_final")
+
+
+def _spec_answers(spark, sf_dir, top):
+    """Spec answers for the top clusters, from the labels of doc_id = user_id
+    (missing label: an answer without numbers, so the L3 values stay):
+    importance 5 + 4 x quality (number), satisfaction 2 + 3 x toxic (text),
+    mature flag = quality as text true/false."""
+    lab = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("user_id"), "quality", "toxic")
+    j = top.join(lab, "user_id", "left")
+    ans = F.when(F.col("quality").isNull(), F.lit('{"skill_name": ""}')).otherwise(F.to_json(F.struct(
+        F.concat(F.lit("skill-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_type")).alias("skill_name"),
+        (F.lit(5) + F.lit(4) * F.col("quality")).alias("importance"),
+        (F.lit(2) + F.lit(3) * F.col("toxic")).cast("string").alias("satisfaction"),
+        F.when(F.col("quality") == 1, F.lit("true")).otherwise(F.lit("false")).alias("has_mature_solution"))))
+    return j.withColumn("answer", ans)
+
+
+def _event_specs(spark, sf_dir):
+    from needlens.plans.specs import refine
+    from needlens.operators.profile import emotion_rows
+    top = _top_event_clusters(spark, sf_dir)
+    # L3 shape: name defaults, rounded mean intensity in the emotion profile
+    top = (top.withColumn("need_cluster_id", F.col("first_ord"))
+              .withColumn("cluster_name", F.concat(F.lit("Cluster "), F.col("first_ord").cast("string")))
+              .withColumn("description", F.lit(""))
+              .withColumn("emotion_profile", F.struct(
+                  F.col("event_type").alias("dominant_emotion"),
+                  F.bround("mean_intensity", 3).alias("avg_intensity"),
+                  F.col("trend").alias("trend")))
+              .withColumn("evidence_samples", F.array().cast("array<string>"))
+              .withColumn("personas", F.array().cast(
+                  "array<struct<segment_name:string,post_count:bigint,pct:int,experience_level:string>>"))
+              .withColumn("existing_solutions", F.array().cast(
+                  "array<struct<name:string,coverage:string,limitation:string>>"))
+              .withColumn("source_topics", F.array(F.col("event_type")))
+              .withColumn("source_topic_labels", F.array().cast("array<string>")))
+    del emotion_rows
+    specs = refine(_spec_answers(spark, sf_dir, top))
+    return specs.where("_ok").drop("_ok")
+
+
+@query
+def refined_specs(spark, sf_dir):
+    """C13 + P20 + P21 + J6: top clusters re-scored with their spec answer."""
+    s = _event_specs(spark, sf_dir)
+    return s.select("rank", "source_cluster_id", "skill_name", "need_name", "need_type",
+                    F.col("opportunity.importance").alias("importance"),
+                    F.col("opportunity.satisfaction").alias("satisfaction"),
+                    F.col("opportunity.raw_score").alias("raw_score"),
+                    F.col("opportunity.intensity_weight").alias("intensity_weight"),
+                    F.col("opportunity.solution_weight").alias("solution_weight"),
+                    F.col("opportunity.trend_boost").alias("trend_boost"),
+                    F.col("opportunity.final_score").alias("final_score"),
+                    "data_period", "post_count")
+
+
+@query
+def report_rows(spark, sf_dir):
+    """S7 + W7 + A12: the markdown report of the refined specs as lines."""
+    from needlens.sources.sinks import report_lines
+    specs = _event_specs(spark, sf_dir)
+    n_posts = load(spark, sf_dir, "events").count()
+    n_clusters = load(spark, sf_dir, "events").select("user_id", "event_type").distinct().count()
+    return report_lines(specs, n_posts, n_clusters, "events")
