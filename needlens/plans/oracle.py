@@ -446,6 +446,21 @@ sizes AS (SELECT component, count(*) AS size, min(node) AS first_ord FROM comp G
 ids AS (SELECT component, CAST(row_number() OVER (ORDER BY first_ord, component) - 1 AS INTEGER) AS cluster_id FROM sizes)
 SELECT u.user_id, ids.cluster_id
 FROM u LEFT JOIN comp ON comp.node = u.user_id LEFT JOIN ids ON ids.component = comp.component"""
+    q["feed_ingest"] = f"""
+WITH p AS (
+  SELECT CAST(doc_id AS VARCHAR) AS post_id,
+         trim(lang || CASE WHEN text <> '' THEN ' ' || text ELSE '' END, {ws}) AS text,
+         CASE WHEN doc_id % 10 <> 0 THEN replace(replace(source || '-post', '-post', ''), '-', '_')
+              ELSE 'unknown' END AS network,
+         lang AS creator_id, n_chars AS creator_followers,
+         coalesce(nullif(n_chars % 7, 0), nullif(n_chars % 5, 0), 0) AS interactions,
+         (CASE WHEN n_chars % 6 = 0 THEN 2.5::DOUBLE ELSE (n_chars % 6)::DOUBLE END) * 20.0::DOUBLE AS sentiment_lc,
+         CASE WHEN doc_id % 9 = 0 THEN TIMESTAMP '2024-01-01 00:00:00'
+              ELSE make_timestamp((1705312800 + doc_id * 60) * 1000000) END AS timestamp,
+         source AS topic
+  FROM documents
+)
+SELECT * FROM p WHERE length(text) > 20 AND {_latin('text')}"""
     from needlens.plans import oracle_answers, oracle_specs
     oracle_answers.add(q)
     oracle_specs.add(q, opp)

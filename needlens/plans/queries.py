@@ -601,3 +601,22 @@ def report_rows(spark, sf_dir):
     n_posts = load(spark, sf_dir, "events").count()
     n_clusters = load(spark, sf_dir, "events").select("user_id", "event_type").distinct().count()
     return report_lines(specs, n_posts, n_clusters, "events")
+
+
+# --- feed readers (S1, P1-P7, F1, F2, W1) -------------------------------------------
+
+@query
+def feed_ingest(spark, sf_dir):
+    """S1 + L0: task-feed documents derived from ``documents`` are written as
+    JSON lines, read back as VARIANT, flattened with the per-key rules,
+    filtered (F1, F2) and deduplicated first-wins on post_id."""
+    import os
+    import uuid
+    from needlens.session import stage_dir
+    from needlens.sources.feeds import documents_as_task_feed, good_posts, read_task_feed
+    path = os.path.join(stage_dir(spark, "feeds"), uuid.uuid4().hex)
+    documents_as_task_feed(load(spark, sf_dir, "documents")).write.mode("overwrite").text(path)
+    posts, _states = read_task_feed(spark, path)
+    kept = collect(good_posts(posts))
+    return kept.select("post_id", "text", "network", "creator_id", "creator_followers", "interactions",
+                       "sentiment_lc", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "topic")
