@@ -28,7 +28,7 @@ TOPIC_SLOTS = 1 << 12  # topics per document in ord
 
 def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """``doc_ord, doc`` (VARIANT) for every feed document under ``path``."""
-    raw = spark.read.option("wholetext", whole_files).text(path)
+    raw = spark.read.text(path, wholetext=whole_files)
     raw = raw.select(F.input_file_name().alias("_file"), F.col("value"))
     if not whole_files:
         # line position inside each file: files are read by one task each
