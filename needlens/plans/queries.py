@@ -60,7 +60,10 @@ def dedup_first(spark, sf_dir):
 @query
 def ctfidf_keywords_by_source(spark, sf_dir):
     """P1, F1, F2, W1 then C6 keywords per source (the minimum slice)."""
-    posts = collect(posts_from_documents(load(spark, sf_dir, "documents")), key="text")
+    from needlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # L0 output is a stage table: the cluster count and the term counts read it once each
+    posts = collect(posts_from_documents(load(spark, sf_dir, "documents")), key="text").checkpoint(eager=True)
     kw = ctfidf_keywords(posts, "topic", "text")
     return kw.select(F.col("cluster").alias("source"), "rank", "term", "tf", "cf",
                      F.round("score", 9).alias("score"))
