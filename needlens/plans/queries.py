@@ -623,3 +623,24 @@ def feed_ingest(spark, sf_dir):
     kept = collect(good_posts(posts))
     return kept.select("post_id", "text", "network", "creator_id", "creator_followers", "interactions",
                        "sentiment_lc", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "topic")
+
+
+# --- documented extensions (D3, D4) --------------------------------------------------
+
+@query
+def user_segments(spark, sf_dir):
+    """D3: users segmented by their event-type shares (KMeans, 5 segments)."""
+    from needlens.operators.segments import kmeans_segments, user_shares
+    ev = load(spark, sf_dir, "events")
+    types = [r[0] for r in ev.select("event_type").distinct().orderBy("event_type").collect()]
+    shares = user_shares(ev, "user_id", "event_type", types)
+    return kmeans_segments(shares, "shares").select("user_id", "segment")
+
+
+@query
+def merged_topics(spark, sf_dir):
+    """Embedding labels merged down to 5 topics by their centroids."""
+    from needlens.operators.segments import merge_topics
+    from needlens.operators.vectors import centroids
+    emb = load(spark, sf_dir, "embeddings")
+    return merge_topics(centroids(emb, "label", "embedding"), "label", 5)
