@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from needlens.operators.segments import kmeans_segments, merge_topics, user_shares
 from needlens.sources import sinks
@@ -46,4 +45,3 @@ def test_report_and_spec_sinks(spark):
     text = "\n".join(r[0] for r in spark.read.text(rp).collect())
     assert text.startswith("# Skill 需求报告 t1") and text.rstrip().endswith("(Ulwick)")
     assert os.path.basename(rp) == "skill_req_report_t1.md"
-    del F
