@@ -479,7 +479,8 @@ def extract_records(spark, sf_dir):
     # model output is written before it is parsed (a stage table, S8)
     raw = _raw_answers(spark, sf_dir).checkpoint(eager=True)
     a = parse_answers(raw, "answer", "v")
-    r = need_records(a, "v", "text", "r")
+    # written before the filter on the flag (see needs.extract_needs)
+    r = need_records(a, "v", "text", "r").select("event_id", "r").checkpoint(eager=True)
     return r.where("r.keep").select(
         "event_id", "r.entity", "r.feature", "r.opinion", "r.need_type", "r.pain_point", "r.root_cause",
         "r.sentiment", "r.emotion", "r.intensity", "r.evidence", "r.user_type", "r.experience_level")
