@@ -21,7 +21,7 @@ HEADLINE = [
     "network_norm", "topic_norm", "personas", "emotion_profile", "daily_series", "trend_series",
     "trend_velocity", "opportunity", "top_clusters", "source_sets", "creator_join", "persona_matrix",
     "topics_over_time", "top_per_topic", "stage_metrics", "fresh_results", "missing_keys", "run_latest",
-    "run_list", "cluster_centroids", "representatives", "radius_pairs", "density_clusters",
+    "run_list", "cluster_centroids", "representatives", "radius_pairs", "grid_pairs", "density_clusters",
     "extract_records", "refined_specs", "report_rows", "feed_ingest", "user_segments", "merged_topics",
     "topic_pipeline", "pipeline_specs",
 ]

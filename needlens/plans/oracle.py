@@ -423,6 +423,15 @@ SELECT a.vec_id AS id_a, b.vec_id AS id_b,
 FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
 WHERE list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) <= 1.15::DOUBLE"""
 
+    q["grid_pairs"] = """
+WITH u AS (SELECT user_id, count(*)::DOUBLE AS n, avg(value) AS m FROM events GROUP BY user_id),
+st AS (SELECT avg(n) AS an, stddev_samp(n) AS sn, avg(m) AS am, stddev_samp(m) AS sm FROM u),
+z AS (SELECT user_id, (n - an) / sn AS x, (m - am) / sm AS y FROM u CROSS JOIN st)
+SELECT a.user_id AS id_a, b.user_id AS id_b,
+       round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 9) AS dist
+FROM z a JOIN z b ON a.user_id < b.user_id
+WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.25::DOUBLE"""
+
     q["density_clusters"] = """
 WITH RECURSIVE
 u AS (SELECT user_id, count(*)::DOUBLE AS n, avg(value) AS m FROM events GROUP BY user_id),

@@ -408,12 +408,19 @@ def _user_features(spark, sf_dir):
 
 @query
 def density_clusters(spark, sf_dir):
-    """C3 (DBSCAN*, grid neighbours, min_samples 3, min size 5) on users."""
-    from needlens.operators.density import dbscan_from_pairs
+    """C3 (DBSCAN*, min_samples 3, min size 5, eps 0.25) on users' z-scored
+    (event count, mean value)."""
+    from needlens.operators.density import dbscan
+    feats = _user_features(spark, sf_dir).withColumn("v", F.array("x", "y"))
+    return dbscan(feats, "user_id", "v", DENSITY_EPS, 3, 5)
+
+
+@query
+def grid_pairs(spark, sf_dir):
+    """J5, grid: pairs of users within 0.25 in the z-scored feature plane."""
     from needlens.operators.neighbors import radius_pairs_grid
-    feats = _user_features(spark, sf_dir)
-    pairs = radius_pairs_grid(feats, "user_id", ["x", "y"], DENSITY_EPS)
-    return dbscan_from_pairs(feats, "user_id", pairs, 3, 5)
+    pairs = radius_pairs_grid(_user_features(spark, sf_dir), "user_id", ["x", "y"], DENSITY_EPS)
+    return pairs.select("id_a", "id_b", F.round("dist", 9).alias("dist"))
 
 
 # --- model answers (P11-P16, F3) ------------------------------------------------
