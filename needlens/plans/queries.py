@@ -567,7 +567,6 @@ def _spec_answers(spark, sf_dir, top):
 
 def _event_specs(spark, sf_dir):
     from needlens.plans.specs import refine
-    from needlens.operators.profile import emotion_rows
     top = _top_event_clusters(spark, sf_dir)
     # L3 shape: name defaults, rounded mean intensity in the emotion profile
     top = (top.withColumn("need_cluster_id", F.col("first_ord"))
@@ -584,7 +583,6 @@ def _event_specs(spark, sf_dir):
                   "array<struct<name:string,coverage:string,limitation:string>>"))
               .withColumn("source_topics", F.array(F.col("event_type")))
               .withColumn("source_topic_labels", F.array().cast("array<string>")))
-    del emotion_rows
     specs = refine(_spec_answers(spark, sf_dir, top))
     return specs.where("_ok").drop("_ok")
 
