@@ -308,28 +308,30 @@ def _puts(spark, sf_dir):
     from needlens.operators.results import cache_key, puts
     ev = load(spark, sf_dir, "events")
     key = cache_key(F.lit("events"), [F.col("event_type"), F.col("user_id")])
-    return puts(ev.withColumn("ts", F.col("ts").cast("timestamp")), key, F.col("props"),
-                F.col("ts"), F.floor(F.col("value") / 10), F.col("event_id"))
+    # ts keeps its type (timestamp_ntz), so time filters reach the parquet scan
+    return puts(ev, key, F.col("props"), F.col("ts"), F.floor(F.col("value") / 10), F.col("event_id"))
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp_ntz")
 
 
 @query
 def fresh_results(spark, sf_dir):
     """K1 + K2 + W6: the fresh value of every key as of NOW."""
     from needlens.operators.results import get_fresh
-    fresh = get_fresh(_puts(spark, sf_dir), F.lit(NOW).cast("timestamp"))
-    return fresh.select("cache_key", "value",
-                        F.col("written_at").cast("timestamp_ntz").alias("written_at"),
-                        F.col("expires").cast("timestamp_ntz").alias("expires"))
+    fresh = get_fresh(_puts(spark, sf_dir), _now())
+    return fresh.select("cache_key", "value", "written_at", "expires")
 
 
 @query
 def missing_keys(spark, sf_dir):
     """K4 + J4: keys requested after NOW that have no fresh result."""
     from needlens.operators.results import cache_key, get_fresh, misses
-    ev = load(spark, sf_dir, "events").filter(F.col("ts").cast("timestamp") > F.lit(NOW).cast("timestamp"))
+    ev = load(spark, sf_dir, "events").filter(F.col("ts") > _now())
     req = ev.select(cache_key(F.lit("events"), [F.col("event_type"), F.col("user_id")]).alias("cache_key"),
                     "event_type", "user_id").distinct()
-    fresh = get_fresh(_puts(spark, sf_dir), F.lit(NOW).cast("timestamp"))
+    fresh = get_fresh(_puts(spark, sf_dir), _now())
     return misses(req, fresh)
 
 
