@@ -23,9 +23,11 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", TABLE_QUERIES)
-def test_no_cartesian_products(spark, name):
+def test_plan_hygiene(spark, name):
+    """No cartesian products, and no Python in the plan (all JVM expressions)."""
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):
