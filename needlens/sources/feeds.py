@@ -15,7 +15,7 @@ present, else the file path order and line position.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from needlens.functions import post as P
@@ -27,20 +27,25 @@ TOPIC_SLOTS = 1 << 12  # topics per document in ord
 
 
 def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """``doc_ord, doc`` (VARIANT) for every feed document under ``path``."""
+    """``doc_ord, doc`` (VARIANT) for every feed document under ``path``.
+
+    ``doc_ord`` numbers the documents 0..n-1 in the order (``data.seq`` when
+    present, file path, split start, line position inside the split); the
+    position comes from ``monotonically_increasing_id``, which increases in
+    reading order inside a split.  The numbering is distributed
+    (``global_row_number``), not a single-task window.
+    """
+    from needlens.operators.ranking import global_row_number
+
     raw = spark.read.text(path, wholetext=whole_files)
-    raw = raw.select(F.input_file_name().alias("_file"), F.col("value"))
-    if not whole_files:
-        # line position inside each file: files are read by one task each
-        raw = raw.withColumn("_pos", F.monotonically_increasing_id())
-    else:
-        raw = raw.withColumn("_pos", F.lit(0).cast("long"))
+    raw = raw.select(F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_blk"),
+                     F.monotonically_increasing_id().alias("_pos"), F.col("value"))
     docs = raw.where(F.length(F.trim("value")) > 0).withColumn("doc", F.try_parse_json("value"))
-    seq = F.try_variant_get("doc", "$.data.seq", "bigint")
-    files = docs.select("_file").distinct().withColumn(
-        "_file_no", F.dense_rank().over(Window.orderBy("_file")))  # one row per file
-    docs = docs.join(F.broadcast(files), "_file")
-    return docs.select(F.coalesce(seq, F.col("_file_no") * (1 << 30) + F.col("_pos")).alias("doc_ord"), "doc")
+    docs = docs.withColumn("_seq", F.try_variant_get("doc", "$.data.seq", "bigint"))
+    numbered = global_row_number(docs.select("_seq", "_file", "_blk", "_pos", "doc"),
+                                 ["_seq", "_file", "_blk", "_pos"], [True, True, True, True], "_n")
+    return numbered.select((F.col("_n") - 1).alias("doc_ord"), "doc")
 
 
 def _vf(v: Column, path: str) -> Field:
