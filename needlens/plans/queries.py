@@ -608,7 +608,9 @@ def refined_specs(spark, sf_dir):
 def report_rows(spark, sf_dir):
     """S7 + W7 + A12: the markdown report of the refined specs as lines."""
     from needlens.sources.sinks import report_lines
-    specs = _event_specs(spark, sf_dir)
+    from needlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    specs = _event_specs(spark, sf_dir).checkpoint(eager=True)  # read three times below
     n_posts = load(spark, sf_dir, "events").count()
     n_clusters = load(spark, sf_dir, "events").select("user_id", "event_type").distinct().count()
     return report_lines(specs, n_posts, n_clusters, "events")
