@@ -270,6 +270,7 @@ def creator_join(spark, sf_dir):
 def persona_matrix(spark, sf_dir):
     """Nation x market segment record counts (pivot)."""
     recs = _order_records(spark, sf_dir).withColumn("segment", F.upper("user_type"))
+    # the pivot's column names: the domain of a categorical column (a handful of values)
     segments = [r[0] for r in recs.select("segment").distinct().orderBy("segment").collect()]
     return (recs.groupBy("need_cluster_id").pivot("segment", segments).count().na.fill(0))
 
@@ -642,6 +643,7 @@ def user_segments(spark, sf_dir):
     """D3: users segmented by their event-type shares (KMeans, 5 segments)."""
     from needlens.operators.segments import kmeans_segments, user_shares
     ev = load(spark, sf_dir, "events")
+    # share columns: the domain of a categorical column (a handful of values)
     types = [r[0] for r in ev.select("event_type").distinct().orderBy("event_type").collect()]
     shares = user_shares(ev, "user_id", "event_type", types)
     return kmeans_segments(shares, "shares").select("user_id", "segment")

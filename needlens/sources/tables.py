@@ -21,7 +21,7 @@ def spread(df: DataFrame) -> DataFrame:
     left alone: no extra shuffle at scale.  Results never depend on the
     partitioning (every tie-break uses an explicit order column)."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    if df.rdd.getNumPartitions() < slots:  # the planned split count only; no data is read
         return df.repartition(slots)
     return df
 
