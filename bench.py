@@ -22,7 +22,8 @@ HEADLINE = [
     "trend_velocity", "opportunity", "top_clusters", "source_sets", "creator_join", "persona_matrix",
     "topics_over_time", "top_per_topic", "stage_metrics", "fresh_results", "missing_keys", "run_latest",
     "run_list", "cluster_centroids", "representatives", "radius_pairs", "grid_pairs", "density_clusters",
-    "extract_records", "refined_specs", "report_rows", "feed_ingest", "user_segments", "merged_topics",
+    "extract_records", "render_prompts", "refined_specs", "report_rows", "feed_ingest", "user_segments",
+    "merged_topics",
     "topic_pipeline", "pipeline_specs",
 ]
 

@@ -470,6 +470,16 @@ WITH p AS (
   FROM documents
 )
 SELECT * FROM p WHERE length(text) > 20 AND {_latin('text')}"""
+    from needlens.plans.prompts import SOLUTIONS
+    tmpl = "'" + SOLUTIONS.replace("'", "''") + "'"
+    quote = "chr(39)"  # a single quote, as in Python's list text
+    plist = ("'[' || array_to_string(list_transform(list_slice(string_split(p_type, ' '), 1, 3), "
+             f"lambda x: {quote} || x || {quote}), ', ') || ']'")
+    rendered = (f"replace(replace(replace({tmpl}, '{{cluster_name}}', {plist}), '{{description}}', p_name), "
+                f"'{{keywords}}', array_to_string(string_split(p_name, ' '), ', '))")
+    q["render_prompts"] = f"""
+SELECT p_partkey, {rendered} AS prompt, length({rendered}) AS prompt_chars FROM part"""
+
     from needlens.plans import oracle_answers, oracle_specs
     oracle_answers.add(q)
     oracle_specs.add(q, opp)

@@ -656,3 +656,20 @@ def merged_topics(spark, sf_dir):
     from needlens.operators.vectors import centroids
     emb = load(spark, sf_dir, "embeddings")
     return merge_topics(centroids(emb, "label", "embedding"), "label", 5)
+
+
+# --- prompt rendering (P9, P10) -------------------------------------------------------
+
+@query
+def render_prompts(spark, sf_dir):
+    """P9 + P10: the solutions prompt for every part, with the part type's
+    first three words as a Python list text, the name as description and the
+    name's words as keywords."""
+    from needlens.functions.respond import join_list, python_list_text, render
+    from needlens.plans.prompts import SOLUTIONS
+    part = load(spark, sf_dir, "part")
+    words = F.split("p_name", " ")
+    prompt = render(SOLUTIONS, [("cluster_name", python_list_text(F.split("p_type", " "), 3)),
+                                ("description", F.col("p_name")),
+                                ("keywords", join_list(words))])
+    return part.select("p_partkey", prompt.alias("prompt"), F.char_length(prompt).alias("prompt_chars"))
