@@ -24,7 +24,9 @@ def global_row_number(df: DataFrame, keys: Sequence[str], ascending: Sequence[bo
     ascending, last when descending); keys should identify rows uniquely."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conf_n = spark.conf.get("spark.sql.shuffle.partitions", "")
+    n = n_partitions or (int(conf_n) if str(conf_n).isdigit()
+                         else spark.sparkContext.defaultParallelism)
     sort_exprs = [F.col(k).asc() if a else F.col(k).desc() for k, a in zip(keys, ascending)]
     ranged = (df.repartitionByRange(n, *sort_exprs)
                 .sortWithinPartitions(*sort_exprs)
