@@ -484,6 +484,3 @@ SELECT p_partkey, {rendered} AS prompt, length({rendered}) AS prompt_chars FROM
     oracle_answers.add(q)
     oracle_specs.add(q, opp)
     return q
-
-
-ORACLE = build()
