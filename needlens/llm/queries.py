@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from needlens.llm import exact_dedup
+from needlens.llm import exact_dedup, langid, simhash_dedup, token_files
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_language_id": langid.op5_language_id,
+    "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
+    "op9_token_files": token_files.op9_token_files,
 }
 
 
