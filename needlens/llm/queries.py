@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from needlens.llm import exact_dedup, langid, simhash_dedup, token_files
+from needlens.llm import exact_dedup, langid, mixing, pieces, simhash_dedup, token_files
 
 QUERIES = {
+    "op2_sentencepiece": pieces.op2_sentencepiece,
+    "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": langid.op5_language_id,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
