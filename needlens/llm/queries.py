@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from needlens.llm import exact_dedup, langid, mixing, pieces, simhash_dedup, token_files
+from needlens.llm import exact_dedup, langid, mixing, pieces, simhash_dedup, token_files, topk, warc_zip
 
 QUERIES = {
+    "op1_warc_zip": warc_zip.op1_warc_zip,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": langid.op5_language_id,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
+    "op8_exact_topk": topk.op8_exact_topk,
     "op9_token_files": token_files.op9_token_files,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.OP4_SQL}
+    return {"op4_exact_dedup": exact_dedup.OP4_SQL, "op8_exact_topk": topk.OP8_SQL}
