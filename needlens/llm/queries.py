@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from needlens.llm import exact_dedup, langid, mixing, pieces, simhash_dedup, token_files, topk, warc_zip
+from needlens.llm import exact_dedup, fuzzy_lines, langid, licenses, mixing, pieces, simhash_dedup, token_files, topk, warc_zip
 
 QUERIES = {
     "op1_warc_zip": warc_zip.op1_warc_zip,
@@ -10,11 +10,14 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": langid.op5_language_id,
+    "op6_license_scan": licenses.op6_license_scan,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op8_exact_topk": topk.op8_exact_topk,
     "op9_token_files": token_files.op9_token_files,
+    "op10_fuzzy_lines": fuzzy_lines.op10_fuzzy_lines,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.OP4_SQL, "op8_exact_topk": topk.OP8_SQL}
+    return {"op4_exact_dedup": exact_dedup.OP4_SQL, "op6_license_scan": licenses.op6_sql(),
+            "op8_exact_topk": topk.OP8_SQL}
