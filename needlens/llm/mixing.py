@@ -149,16 +149,16 @@ def thresholds(sized: DataFrame, plan: DataFrame, cap: float = CAP) -> DataFrame
         bins = inside.groupBy("s", "rest", "theta", "below", F.floor((F.col("key") - F.col("theta")) / width).alias("bin")) \
                      .agg(F.sum("size").alias("words"))
         upto = Window.partitionBy("s", "rest", "theta", "below").orderBy("bin")  # at most BINS rows a source
-        edge = (bins.withColumn("upto", F.col("below") + F.sum("words").over(upto))
-                    .where(F.col("upto") <= F.col("rest"))
-                    .groupBy("s").agg(F.max("bin").alias("bin"), F.max("upto").alias("upto")))
-        first = bins.groupBy("s").agg(F.max("bin").alias("last"))
-        j = (cut.join(edge, cut["source"].eqNullSafe(edge["s"]), "left").drop("s")
-                .join(first, cut["source"].eqNullSafe(first["s"]), "left").drop("s"))
-        cut = staged(j.select(*plan.columns, "rest",
-                              (F.col("theta") + (F.coalesce(F.col("bin") + 1, F.lit(0)) * width)).alias("theta"),
+        run = bins.withColumn("upto", F.col("below") + F.sum("words").over(upto))
+        # the first bin that passes the target is refined next; all below it is taken
+        over = F.col("upto") > F.col("rest")
+        edge = run.groupBy("s").agg(F.min(F.when(over, F.col("bin"))).alias("bin"),
+                                    F.max(F.when(~over, F.col("upto"))).alias("upto"))
+        j = cut.join(edge, cut["source"].eqNullSafe(edge["s"]), "left")
+        reached = F.when(F.col("bin").isNotNull(), F.col("bin") * width).when(F.col("upto").isNotNull(), width * BINS)
+        cut = staged(j.select(*plan.columns, "rest", (F.col("theta") + F.coalesce(reached, F.lit(0.0))).alias("theta"),
                               F.coalesce("upto", "below").alias("below")), "mix-cut")
-    # the documents of the next bin are taken too if that comes nearer to the target
+    # the documents of the bin at the threshold are taken too if that comes nearer to the target
     c = cut.select(F.col("source").alias("s"), "theta")
     nxt = (rows.join(c, rows["source"].eqNullSafe(F.col("s")))
                .where((F.col("key") >= F.col("theta")) & (F.col("key") < F.col("theta") + width))

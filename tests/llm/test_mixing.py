@@ -48,6 +48,7 @@ def test_documents(spark):
 
 def test_cases(spark, tmp_path):
     rows = [(i, "w " * (i % 97 + 1), None if i % 3 == 0 else f"s{i % 5}", "x") for i in range(400)]
+    rows += [(2000 + i, "w " * (i * i + 1), f"few{i % 9}", "x") for i in range(40)]
     rows += [(1000, None, "s1", "x"), (1001, "", "none", "x"), (1002, "word " * 30000, "é", "x"), (1003, "a", "\U00020000", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
