@@ -5,7 +5,8 @@ Every line of a document, and the whole document if it has several lines, is a
 unit.  A unit and a licence template are compared by the sets of their word
 bigrams: ``2 |A n B| / (|A| + |B|)``.  A coefficient of at least ``t`` needs sizes
 within ``t / (2 - t)`` of each other, which prunes templates (and whole
-documents) before any set is built.  All work happens within the row; nothing
+documents) before any set is built.  It also needs most of a template's bigrams,
+so a document without any of a few words of each template is passed over.  All work happens within the row; nothing
 is shuffled.
 
 Normalisation: lower case, runs of anything but letters and digits are one blank.
@@ -70,6 +71,23 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def anchors(found: list[str], threshold: float) -> list[str]:
+    """Words of which every unit that reaches the threshold holds at least one.
+
+    Such a unit lacks at most ``m`` of the template's bigrams, so it holds one of
+    any words that touch more than ``m`` of them; the longest words are taken.
+    """
+    m = len(found) - math.ceil(len(found) * threshold / (2 - threshold) - 1e-9)
+    pairs = [b.split(" ") for b in found]
+    out, touched = [], set()
+    for w in sorted({w for p in pairs for w in p}, key=lambda w: (-len(w), w)):
+        if len(touched) > m:
+            break
+        out.append(w)
+        touched |= {i for i, p in enumerate(pairs) if w in p}
+    return out
+
+
 def normalise(text: Column) -> Column:
     """Lower case; line ends stay, every other run of marks is one blank."""
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
@@ -92,6 +110,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     most = max((math.floor(len(s) / ratio + 1e-9) for s in sets.values()), default=0)
     known = sorted({b for s in sets.values() for b in s})
     rows = docs.select(F.col(id_col).alias("id"), normalise(F.col(text_col)).alias("norm"))
+    # documents without any anchor word hold no matching unit
+    words = sorted({w for s in sets.values() for w in anchors(s, threshold)})
+    padded = F.concat(F.lit(" "), F.replace(F.col("norm"), F.lit("\n"), F.lit(" ")), F.lit(" "))
+    held = F.lit(False)
+    for w in words:
+        held = held | F.contains(padded, F.lit(f" {w} "))
+    rows = rows.where(held)
     lines = F.split("norm", "\n")
     n_lines = F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit("\n"), F.lit(""))) + 1
     units = F.when(F.contains(F.col("norm"), F.lit("\n")),
