@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from needlens.functions.respond import need_records, parse_answers, render
 
-BASE = {"is_financial": True, "entity": "ETH", "feature": "gas", "opinion": "too high",
-        "need_type": "explicit", "pain_point": "gas", "root_cause": "high_cost", "sentiment": "negative",
-        "emotion": "frustration", "intensity": 0.8, "evidence": "gas is insane", "user_type": "trader",
-        "experience_level": "expert"}
+BASE = {"is_financial": True, "entity": "mortgage", "feature": "renewal letter", "opinion": "arrives late",
+        "need_type": "implicit", "pain_point": "deadline missed", "root_cause": "poor_notice", "sentiment": "negative",
+        "emotion": "annoyance", "intensity": 0.6, "evidence": "the letter came after the date", "user_type": "casual",
+        "experience_level": "beginner"}
 
 
 def parse(spark, answers, text="post text " * 10):
@@ -36,11 +36,11 @@ def test_enum_fallbacks(spark):
 
 def test_intensity_clamp_missing_null_text(spark):
     r = parse(spark, [variant(intensity=1.5), variant(intensity=...), variant(intensity=None),
-                      variant(intensity="0.8"), variant(intensity="abc"), variant(intensity=True)])
+                      variant(intensity="0.6"), variant(intensity="abc"), variant(intensity=True)])
     assert r[0]["intensity"] == 1.0 and r[0]["keep"]
     assert r[1]["intensity"] == 0.5 and r[1]["keep"]
     assert not r[2]["keep"]
-    assert r[3]["intensity"] == 0.8 and r[3]["keep"]
+    assert r[3]["intensity"] == 0.6 and r[3]["keep"]
     assert not r[4]["keep"]
     assert r[5]["intensity"] == 1.0 and r[5]["keep"]
 
@@ -63,8 +63,8 @@ def test_truthy_defaults_and_type_errors(spark):
 
 def test_tolerant_parse_shapes(spark):
     body = variant()
-    answers = ["```json\n" + body + "\n```", body.replace("too high", "it\\'s high"),
-               body.replace("too high", "line1\nline2"), "Sure! " + body + " Bye.", "no json here",
+    answers = ["```json\n" + body + "\n```", body.replace("arrives late", "it\\'s high"),
+               body.replace("arrives late", "line1\nline2"), "Sure! " + body + " Bye.", "no json here",
                "[" + body + "]"]
     r = parse(spark, answers)
     assert r[0]["keep"] and r[1]["opinion"] == "it's high" and r[2]["opinion"] == "line1\nline2"

@@ -44,4 +44,4 @@ def test_report_and_spec_sinks(spark):
     rp = sinks.write_report(sinks.report_lines(specs, 24, 2, "t1"), out, "t1")
     text = "\n".join(r[0] for r in spark.read.text(rp).collect())
     assert text.startswith("# Skill 需求报告 t1") and text.rstrip().endswith("(Ulwick)")
-    assert os.path.basename(rp) == "skill_req_report_t1.md"
+    assert os.path.basename(rp) == "needs_report_t1.md"
