@@ -5,7 +5,9 @@ Every line of a document, and the whole document if it has several lines, is a
 unit.  A unit and a licence template are compared by the sets of their word
 bigrams: ``2 |A n B| / (|A| + |B|)``.  A coefficient of at least ``t`` needs sizes
 within ``t / (2 - t)`` of each other, which prunes templates (and whole
-documents) before any set is built.  All work happens within the row; nothing
+documents) before any set is built.  Before that a unit must hold an anchor:
+a match shares so many bigrams with its template that it cannot miss all those
+around the template's anchor words.  All work happens within the row; nothing
 is shuffled.
 
 Normalisation: lower case, runs of anything but letters and digits are one blank.
@@ -70,9 +72,36 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def anchor_words(sets: dict[str, list[str]], threshold: float) -> list[str]:
+    """Words of which every unit that reaches the threshold holds one at least.
+
+    A match of a template with ``n`` bigrams shares ``least`` of them or more, so
+    any ``n - least + 1`` of them include a shared one.  Long words are taken
+    until so many bigrams hold one; a word that holds a chosen one counts too."""
+    chosen: list[str] = []
+    for bigrams_ in sorted(sets.values(), key=len):
+        n = len(bigrams_)
+        least = max(1, math.ceil(threshold / 2 * (n + math.ceil(n * threshold / (2 - threshold) - 1e-9)) - 1e-9))
+        words = sorted({w for b in bigrams_ for w in b.split(" ")}, key=lambda w: (-len(w), w))
+        held = lambda: sum(any(c in w for c in chosen for w in b.split(" ")) for b in bigrams_)
+        for w in words:
+            if held() > n - least:
+                break
+            if not any(c in w for c in chosen):
+                chosen.append(w)
+    return [w for w in chosen if not any(c != w and c in w for c in chosen)]
+
+
+def has_anchor(unit: Column, anchors: list[str]) -> Column:
+    found = F.lit(False)
+    for w in anchors:
+        found = found | F.contains(unit, F.lit(w))
+    return found
+
+
 def normalise(text: Column) -> Column:
-    """Lower case; line ends stay, every other run of marks is one blank."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+    """Every run of marks is one blank (``text`` is in lower case)."""
+    return F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
 
 
 def bigrams(words: Column) -> Column:
@@ -91,15 +120,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     least = min((math.ceil(len(s) * ratio - 1e-9) for s in sets.values()), default=1)
     most = max((math.floor(len(s) / ratio + 1e-9) for s in sets.values()), default=0)
     known = sorted({b for s in sets.values() for b in s})
-    rows = docs.select(F.col(id_col).alias("id"), normalise(F.col(text_col)).alias("norm"))
-    lines = F.split("norm", "\n")
-    n_lines = F.char_length("norm") - F.char_length(F.replace(F.col("norm"), F.lit("\n"), F.lit(""))) + 1
-    units = F.when(F.contains(F.col("norm"), F.lit("\n")),
-                   F.concat(lines, F.array(F.translate("norm", "\n", " ")))).otherwise(lines)
-    rows = rows.select("id", n_lines.alias("n_lines"), F.posexplode(units).alias("line_no", "unit"))
-    rows = rows.where(F.col("unit") != "").select(
-        "id", F.when(F.col("line_no") < F.col("n_lines"), F.col("line_no")).otherwise(-1).alias("line_no"),
-        F.split(F.trim(F.regexp_replace("unit", " {2,}", " ")), " ").alias("words"))
+    anchors = anchor_words(sets, threshold)
+    # generated columns are computed once a row, whatever filters name them
+    rows = docs.select(F.col(id_col).alias("id"), F.explode(F.array(F.lower(F.col(text_col)))).alias("low"))
+    rows = rows.where(has_anchor(F.col("low"), anchors))
+    whole = F.when(F.contains("low", F.lit("\n")), F.array("low")).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("id", F.posexplode(F.concat(F.split("low", "\n"), whole)).alias("line_no", "unit"))
+    rows = rows.where(has_anchor(F.col("unit"), anchors)).select(
+        "id", F.when(F.contains("unit", F.lit("\n")), -1).otherwise(F.col("line_no")).alias("line_no"),
+        F.split(normalise(F.col("unit")), " ").alias("words"))
     rows = rows.where(F.size("words") > least)  # distinct bigrams are fewer than words
     # a unit has at least as many distinct bigrams as distinct words, less one
     rows = rows.where((F.col("line_no") >= 0) | (F.size(F.array_distinct("words")) <= most + 1))
