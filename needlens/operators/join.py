@@ -23,8 +23,3 @@ def maybe_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     """
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return big.join(maybe_broadcast(small, max_rows), on, how)
