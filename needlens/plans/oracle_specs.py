@@ -76,11 +76,11 @@ det AS (
     FROM specs)
 ),
 tail(line_no, line) AS (
-  SELECT * FROM (VALUES (10000000, '## 方法论'),
-    (10000001, '- 数据：topic feeds (posts per topic, deduplicated, Latin script, > 20 characters)'),
-    (10000002, '- 聚类：embedding → PCA → DBSCAN* (density) + c-TF-IDF keywords'),
-    (10000003, '- NLP：pluggable batch answer function (offline lexicon default)'),
-    (10000004, '- 评分：ODI Opportunity Score (Ulwick)'))
+  SELECT * FROM (VALUES (10 + {n} + 3 + {n} * 1000 + 0, '## 方法论'),
+    (10 + {n} + 3 + {n} * 1000 + 1, '- 数据：topic feeds (posts per topic, deduplicated, Latin script, > 20 characters)'),
+    (10 + {n} + 3 + {n} * 1000 + 2, '- 聚类：embedding → PCA → DBSCAN* (density) + c-TF-IDF keywords'),
+    (10 + {n} + 3 + {n} * 1000 + 3, '- NLP：pluggable batch answer function (offline lexicon default)'),
+    (10 + {n} + 3 + {n} * 1000 + 4, '- 评分：ODI Opportunity Score (Ulwick)'))
 )
 SELECT CAST(line_no AS BIGINT) AS line_no, line FROM (
   SELECT * FROM head UNION ALL SELECT * FROM tbl UNION ALL SELECT * FROM mid
