@@ -84,9 +84,15 @@ scored AS (
          tf / (tf_sum + 1e-9) * ln((SELECT k FROM k)::DOUBLE / (cf + 1)) AS score
   FROM kept
 ),
+grid AS (
+  SELECT c.cluster, v.term, coalesce(s.tf, 0) AS tf, v.cf, coalesce(s.score, 0.0::DOUBLE) AS score
+  FROM (SELECT DISTINCT cluster FROM scored) c CROSS JOIN vocab v
+  LEFT JOIN scored s ON s.cluster = c.cluster AND s.term = v.term
+),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, tf DESC, term ASC) AS rank
-  FROM scored
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC,
+    CASE WHEN score = 0 THEN term END DESC NULLS LAST, tf DESC, term ASC) AS rank
+  FROM grid
 )
 SELECT cluster AS source, rank, term, tf, cf, round(score, 9) AS score
 FROM ranked WHERE rank <= 10 AND (SELECT k FROM k) >= 2"""
