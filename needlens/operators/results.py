@@ -69,6 +69,14 @@ def hits(requested: DataFrame, fresh: DataFrame) -> DataFrame:
     return requested.join(fresh, "cache_key", "inner")
 
 
+def stored_or_fetched(requested: DataFrame, fresh: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One value per requested key: the fresh stored one, else the row of
+    ``fetched`` (null without one).  ``stored`` tells where it comes from."""
+    kept = hits(requested, fresh.select("cache_key", "value")).withColumn("stored", F.lit(True))
+    new = misses(requested, fresh).join(fetched.select("cache_key", "value"), "cache_key", "left")
+    return kept.unionByName(new.withColumn("stored", F.lit(False)))
+
+
 # Run states of the run history.
 PENDING, RUNNING, COMPLETED, FAILED = "pending", "running", "completed", "failed"
 

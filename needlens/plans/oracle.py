@@ -364,6 +364,24 @@ req AS (
 )
 SELECT * FROM req WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh.cache_key = req.cache_key)"""
 
+    q["stored_or_fetched"] = f"""
+WITH {fresh},
+since AS (
+  SELECT cache_key, value FROM puts WHERE written_at > TIMESTAMP '2024-01-20 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY cache_key ORDER BY written_at DESC, seq DESC) = 1
+)
+SELECT s.cache_key, CASE WHEN f.cache_key IS NULL THEN s.value ELSE f.value END AS value,
+       f.cache_key IS NOT NULL AS stored
+FROM since s LEFT JOIN fresh f USING (cache_key)"""
+
+    q["purged_results"] = f"""
+WITH {fresh}
+SELECT cache_key, value, written_at, expires, seq FROM puts
+WHERE expires >= TIMESTAMP '2024-01-20 00:00:00'
+  AND cache_key NOT IN (
+    SELECT sha256('events:' || event_type || ':' || CAST(user_id AS VARCHAR)) FROM events
+    WHERE ts > TIMESTAMP '2024-01-20 00:00:00' AND event_type = 'signup')"""
+
     runs = """
 s AS (
   SELECT CAST(user_id AS VARCHAR) AS run_id,

@@ -336,6 +336,26 @@ def missing_keys(spark, sf_dir):
     return misses(req, fresh)
 
 
+@query
+def stored_or_fetched(spark, sf_dir):
+    """J4 + K2 + K4: every key requested after NOW with its stored value, or the last one written since."""
+    from needlens.operators import results as R
+    table = _puts(spark, sf_dir)
+    since = table.filter(F.col("written_at") > _now())
+    requested = since.select("cache_key").distinct()
+    return R.stored_or_fetched(requested, R.get_fresh(table, _now()), R.latest(since))
+
+
+@query
+def purged_results(spark, sf_dir):
+    """K3: writes left after the expired ones and all writes of the keys of new sign-ups are gone."""
+    from needlens.operators.results import cache_key, delete_keys, purge_expired
+    ev = load(spark, sf_dir, "events").filter((F.col("ts") > _now()) & (F.col("event_type") == "signup"))
+    gone = ev.select(cache_key(F.lit("events"), [F.col("event_type"), F.col("user_id")]).alias("cache_key"))
+    left = delete_keys(purge_expired(_puts(spark, sf_dir), _now()), gone)
+    return left.select("cache_key", "value", "written_at", "expires", "seq")
+
+
 def _status_events(spark, sf_dir):
     ev = load(spark, sf_dir, "events")
     status = (F.when(F.col("event_type") == "signup", F.lit("pending"))
