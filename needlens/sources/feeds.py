@@ -183,7 +183,7 @@ def read_topic_feed(spark: SparkSession, path: str, topic: str,
 def read_flat_feed(spark: SparkSession, path: str, topic: str, whole_files: bool = False) -> DataFrame:
     """Alternate flat feed ``{data: [post, ...]}`` with fallback chains
     (P1b-P5b); the posts get ``topic``."""
-    from needlens.functions.respond import as_string, is_falsy, is_number, is_string
+    from needlens.functions.respond import as_string, is_falsy, is_missing, is_number, is_string
     docs = read_documents(spark, path, whole_files)
     items = docs.select("doc_ord", F.posexplode(F.coalesce(
         F.try_variant_get("doc", "$.data", "array<variant>"), F.array().cast("array<variant>"))).alias("p_pos", "item"))
@@ -196,28 +196,38 @@ def read_flat_feed(spark: SparkSession, path: str, topic: str, whole_files: bool
             val = F.when(~is_falsy(f), F.when(is_string(f), as_string(f)).otherwise(F.to_json(f.v))).otherwise(val)
         return val
 
-    text = F.coalesce(first_truthy("$.body", "$.text", "$.post_title", "$.title"), F.lit(""))
+    # a chosen value that can't be read stays null and makes the post malformed
+    text = F.lit("")
+    for f in (_vf(it, p) for p in ("$.title", "$.post_title", "$.text", "$.body")):
+        text = F.when(is_falsy(f), text).when(is_string(f), as_string(f))
     net_f, pt_f = _vf(it, "$.network"), _vf(it, "$.post_type")
-    network = F.when(~is_falsy(net_f), as_string(net_f)).otherwise(
-        F.split_part(F.coalesce(as_string(pt_f), F.lit("unknown")), F.lit("-"), F.lit(1)))
+    from_type = (F.when(is_missing(pt_f), F.lit("unknown"))
+                  .when(is_string(pt_f), F.split_part(as_string(pt_f), F.lit("-"), F.lit(1))))
+    network = F.when(is_falsy(net_f), from_type).when(is_string(net_f), as_string(net_f))
     ts_fields = [_vf(it, p) for p in ("$.created_at", "$.post_created", "$.time")]
     ts = P.default_ts()
     for f in reversed(ts_fields):
         val = F.when(is_number(f), F.timestamp_seconds(F.try_variant_get(f.v, "$", "double").cast("long"))) \
                .otherwise(F.try_to_timestamp(as_string(f)))
         ts = F.when(~is_falsy(f), val).otherwise(ts)
-    sent = F.coalesce(*[F.when(~is_falsy(_vf(it, p)), _number(_vf(it, p))) for p in ("$.post_sentiment", "$.sentiment")],
-                      F.lit(P.DEFAULT_SENTIMENT_B))
-    i24, _ = _int_or_null(_vf(it, "$.interactions_24h"))
-    itot, _ = _int_or_null(_vf(it, "$.interactions"))
+    sent = F.lit(P.DEFAULT_SENTIMENT_B)
+    for f in (_vf(it, "$.sentiment"), _vf(it, "$.post_sentiment")):
+        sent = F.when(is_falsy(f), sent).otherwise(_number(f))
+    f24, ftot = _vf(it, "$.interactions_24h"), _vf(it, "$.interactions")
+    i24, ok_24 = _int_or_null(f24)
+    itot, ok_tot = _int_or_null(ftot)
+    ok_inter = F.when(is_falsy(f24), is_falsy(ftot) | ok_tot).otherwise(ok_24)
     creator = F.coalesce(first_truthy("$.creator_id", "$.user_id"), F.lit(""))
-    followers, _ = _int_or_null(_vf(it, "$.creator_followers"))
+    followers, ok_followers = _int_or_null(_vf(it, "$.creator_followers"))
     out = items.select(
         _id_text(_vf(it, "$.id")).alias("post_id"), text.alias("text"), creator.alias("creator_id"),
         network.alias("network"), followers.alias("creator_followers"), P.interactions(i24, itot).alias("interactions"),
         sent.alias("sentiment_lc"), ts.alias("timestamp"), F.lit(topic).alias("topic"),
-        (F.col("doc_ord") * POST_SLOTS + F.col("p_pos")).alias("ord"))
-    return out.withColumn("_ok", F.col("timestamp").isNotNull())
+        (F.col("doc_ord") * POST_SLOTS + F.col("p_pos")).alias("ord"), (ok_inter & ok_followers).alias("_counts"))
+    read = F.col("_counts")
+    for c in ("text", "network", "sentiment_lc", "timestamp"):
+        read = read & F.col(c).isNotNull()
+    return out.withColumn("_ok", F.coalesce(read, F.lit(False))).drop("_counts")
 
 
 def good_posts(posts: DataFrame) -> DataFrame:

@@ -83,3 +83,25 @@ def test_flat_feed_fallbacks(spark):
     assert str(a["timestamp"]) == "2024-02-01 10:00:00"
     assert (b["text"], b["network"], b["sentiment_lc"]) == ("Only a title here", "reddit", 50.0)
     assert str(b["timestamp"]) == "2024-01-15 10:00:00"
+
+
+def test_flat_feed_malformed_posts(spark):
+    """P7 on the flat feed: a value that is chosen but can't be read."""
+    rows = [{"id": "good", "body": "some text", "post_type": "forum-post", "sentiment": "61"},
+            {"id": "sent", "body": "some text", "post_sentiment": "high", "sentiment": 40},
+            {"id": "type", "body": "some text", "post_type": None},
+            {"id": "net", "body": "some text", "network": "blog", "post_type": None},
+            {"id": "text", "body": ["a list"], "title": "a title"},
+            {"id": "count", "body": "some text", "interactions_24h": "many", "interactions": 3},
+            {"id": "next", "body": "some text", "interactions_24h": 0, "interactions": 3},
+            {"id": "follow", "body": "some text", "creator_followers": "few"},
+            {"id": "bare"}]
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "flat.json"), "w") as f:
+        json.dump({"data": rows}, f)
+    out = read_flat_feed(spark, d, "btc", whole_files=True)
+    assert {r["post_id"] for r in out.where("_ok").collect()} == {"good", "net", "next", "bare"}
+    got = {r["post_id"]: r for r in good_posts(out).collect()}
+    assert got["good"]["sentiment_lc"] == 61.0 and got["good"]["network"] == "forum"
+    assert got["net"]["network"] == "blog" and got["next"]["interactions"] == 3
+    assert got["bare"]["network"] == "unknown" and got["bare"]["text"] == ""
