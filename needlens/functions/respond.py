@@ -272,11 +272,20 @@ def cluster_names(df: DataFrame, v_col: str, id_col: str) -> DataFrame:
     return d.drop(*[c for c in d.columns if c.startswith("_g")])
 
 
-def solutions(v: Column) -> Column:
-    """``array<struct<name, coverage, limitation>>``; missing -> []."""
+def _solution_items(v: Column) -> Column:
     arr = F.when(is_object_type(F.schema_of_variant(v)),
                  F.try_variant_get(v, "$.solutions", "array<variant>"))
-    items = F.coalesce(arr, F.array().cast("array<variant>"))
+    return F.coalesce(arr, F.array().cast("array<variant>"))
+
+
+def solutions_readable(v: Column) -> Column:
+    """Every entry is an object; the cluster is left out otherwise."""
+    return F.forall(_solution_items(v), lambda s: F.coalesce(is_object_type(F.schema_of_variant(s)), F.lit(False)))
+
+
+def solutions(v: Column) -> Column:
+    """``array<struct<name, coverage, limitation>>``; missing -> []."""
+    items = _solution_items(v)
     return F.transform(items, lambda s: F.struct(
         F.coalesce(F.try_variant_get(s, "$.name", "string"), F.lit("")).alias("name"),
         F.coalesce(F.try_variant_get(s, "$.coverage", "string"), F.lit(DEFAULT_COVERAGE)).alias("coverage"),

@@ -81,3 +81,12 @@ def test_render_is_sequential_literal_replace(spark):
     out = df.select(render('{"x": {a}} {b} {c}', [("a", F.col("a")), ("b", F.col("b"))])).first()[0]
     # {a} -> A; {b} -> "{b}" (the value itself), other braces untouched
     assert out == '{"x": A} {b} {c}'
+
+
+def test_solutions_with_an_entry_that_is_no_object(spark):
+    from needlens.functions.respond import solutions_readable
+    rows = [("objects", '{"solutions": [{"name": "A"}, {}]}'), ("none", '{"other": 1}'), ("failed", None),
+            ("text", '{"solutions": [{"name": "A"}, "B"]}'), ("null", '{"solutions": [null]}')]
+    df = parse_answers(spark.createDataFrame(rows, "id string, answer string"), "answer", "v")
+    got = {r["id"]: r["ok"] for r in df.select("id", solutions_readable(F.col("v")).alias("ok")).collect()}
+    assert got == {"objects": True, "none": True, "failed": True, "text": False, "null": False}
