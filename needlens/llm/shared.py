@@ -25,7 +25,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     back: cuts lineage, survives lost executors, and is computed once."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Delete a table made by ``staged`` that nothing reads any more."""
+    path = getattr(df, "_stage_path", None)
+    if path:
+        spark = df.sparkSession
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -45,6 +56,30 @@ def open_fs(uri: str):
     return fs.LocalFileSystem(), uri
 
 
+def text_slices(batches, text_col: str, others: tuple[str, ...], size: int):
+    """Parts of Arrow batches with about ``size`` bytes of text (one row at least):
+    two of the columns ``others`` (None for a second that is not named), the bytes
+    of the texts laid end to end, and where each text ends.  Null text is empty."""
+    import numpy as np
+    import pyarrow as pa
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        text = b.column(text_col)
+        text = text.fill_null("") if text.null_count else text
+        _, places, data = text.buffers()
+        wide = pa.types.is_large_string(text.type) or pa.types.is_large_binary(text.type)
+        at = np.frombuffer(places, np.int64 if wide else np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        part = (at[1:] - at[0]) // size
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+        for i, j in zip(edges, edges[1:]):
+            first = b.column(others[0]).slice(i, j - i)
+            second = b.column(others[1]).slice(i, j - i) if len(others) > 1 else None
+            yield first, second, raw[at[i]:at[j]], at[i + 1:j + 1] - at[i]
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker process, for models and
     caches that later tasks of the same worker can use again."""
