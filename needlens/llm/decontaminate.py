@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from needlens.llm.shared import drop_stage, staged, text_slices
 
@@ -295,8 +296,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
         bad = hits.where(words > F.col("n_words") * F.lit(share)).select("key")
         return rows.join(bad, "key", "left_anti").select("row.*")
     dirty = rows.join(hits.select("key", "begin", "end"), "key")
-    kind = rows.schema["row"].dataType.simpleString()
-    cut = dirty.select("row", "text", "begin", "end").mapInArrow(_cut, f"row {kind}, text string")
+    cut = dirty.select("row", "text", "begin", "end").mapInArrow(
+        _cut, StructType([rows.schema["row"], StructField("text", StringType())]))
     clean = rows.join(hits, "key", "left_anti").select("row", "text")
     back = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
     return clean.unionByName(cut).select(*back)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from needlens.llm import fuse
-from needlens.llm.shared import staged
+from needlens.llm.shared import packed, quoted, staged
 
 KEYS_PER_BUCKET = 2048
 
@@ -82,11 +82,11 @@ def screen(digests: DataFrame, filters: DataFrame, n_buckets: int) -> DataFrame:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"),
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    return docs.select(F.col(quoted(id_col)).alias("id"), F.monotonically_increasing_id().alias("rid"),
                        text.alias("text"), digest(text).alias("digest"),
                        F.xxhash64(text).alias("tag"),
-                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)).alias("part"))
+                       F.pmod(F.xxhash64(F.col(quoted(id_col))), F.lit(2)).alias("part"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -122,13 +122,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       (F.col("rid") == F.col("top.rid")).alias("kept"))
 
 
+def row_key(row_id: Column, digest: Column) -> Column:
+    """Id and text digest as one value; a null id is a value of its own."""
+    return F.concat(F.hex(digest), F.coalesce(F.concat(F.lit("i"), row_id.cast("string")), F.lit("-")))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged."""
-    kept = (exact_dedup(docs, id_col, text_col).where("kept")
-            .select(F.col("id").alias("_id"), F.col("digest").alias("_digest")))
-    marked = docs.withColumn("_digest", sha256(F.coalesce(F.col(text_col), F.lit(""))))
-    cond = marked[id_col].eqNullSafe(kept["_id"]) & (marked["_digest"] == kept["_digest"])
-    return marked.join(kept, cond, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
+    """The rows of ``docs`` that stay, all columns unchanged.  Of rows that repeat an
+    id and its text one stays."""
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(row_key(F.col("id"), F.col("digest")).alias("key"))
+    digest = sha256(F.coalesce(F.col(quoted(text_col)), F.lit("")))
+    rows = packed(docs, row_key(F.col(quoted(id_col)), digest).alias("key"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def op4_exact_dedup(spark, sf_dir):

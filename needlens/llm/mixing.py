@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from needlens.llm.shared import staged
+from needlens.llm.shared import packed, quoted, staged
 from needlens.operators.ranking import global_row_number
 
 WEIGHTS = (5, 2, 1)
@@ -44,12 +44,16 @@ def text_size(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORDS)).cast("long")
 
 
+def _sized_columns(id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    row_id, text = F.col(quoted(id_col)), F.col(quoted(text_col))
+    h = F.shiftrightunsigned(F.xxhash64(row_id, text), 11)
+    return {"id": row_id, "source": F.col(quoted(source_col)), "size": text_size(text),
+            "u": (h.cast("double") + 0.5) / float(1 << 53)}
+
+
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``id, source, size`` and ``u``, a number in (0, 1) from id and text."""
-    h = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 11)
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       text_size(F.col(text_col)).alias("size"),
-                       ((h.cast("double") + 0.5) / float(1 << 53)).alias("u"))
+    return docs.select(*[c.alias(n) for n, c in _sized_columns(id_col, text_col, source_col).items()])
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -187,11 +191,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as it has copies."""
     plan = fit(staged(_sized(docs, id_col, text_col, source_col), "mix-sized"), weights, share, cap)
-    packed = docs.select(F.struct(*docs.columns).alias("row"))
-    rows = packed.select("row", *[c.alias(n) for n, c in (
-        ("source", F.col(f"row.`{source_col}`")), ("size", text_size(F.col(f"row.`{text_col}`"))),
-        ("u", (F.shiftrightunsigned(F.xxhash64(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")), 11)
-               .cast("double") + 0.5) / float(1 << 53)))])
+    rows = packed(docs, *[_sized_columns(id_col, text_col, source_col)[c].alias(c) for c in ("source", "size", "u")])
     taken = copies(rows, plan, cap).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 

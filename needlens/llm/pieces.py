@@ -11,7 +11,7 @@ blank mark, so the best path of a text is the best paths of its blank-led cuts
 laid end to end.  This is verified on the vocabulary when it is loaded, as is the
 cut between a letter and a following full stop or comma; only boundaries that no
 piece crosses are used.  Equal cuts are solved once per worker (the cache is
-emptied at ``CACHE`` entries), whole texts are processed.
+emptied at ``CACHE_BYTES``, long cuts are not kept), whole texts are processed.
 
 Text is taken as it is (identity normalisation); a blank becomes the mark
 U+2581 and a leading mark is added, and removed again in decoding.
@@ -24,16 +24,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from needlens.llm.shared import worker_state
+from needlens.llm.shared import batch_slices, quoted, worker_state
 
 MARK = "▁"
-CACHE = 400_000
+CACHE_BYTES = 32 << 20  # of cuts and their ids kept by a worker
 UNKNOWN_PENALTY = 10.0
 
 
@@ -52,12 +54,12 @@ def load_vocabulary(path: str) -> dict:
 class Encoder(dict):
     """Ids of a cut as packed bytes, computed on first use."""
 
-    def __init__(self, vocabulary: dict, limit: int = CACHE):
+    def __init__(self, vocabulary: dict, limit: int = CACHE_BYTES):
         import ahocorasick
 
         super().__init__()
         pieces, scores, skip = vocabulary["pieces"], vocabulary["scores"], set(vocabulary["other"])
-        self.automaton, self.limit = ahocorasick.Automaton(), limit
+        self.automaton, self.limit, self.held = ahocorasick.Automaton(), limit, 0
         normal = [i for i in range(len(pieces)) if i not in skip]
         for i in normal:
             self.automaton.add_word(pieces[i], (len(pieces[i]), scores[i], i))
@@ -113,9 +115,13 @@ class Encoder(dict):
             ids = self[cut[:-1]] + self[cut[-1]]
         else:
             ids = np.array(self.solve(cut), self.dtype).tobytes()
-        if len(self) >= self.limit:
+        size = getsizeof(cut) + getsizeof(ids) + 100
+        if self.held + size > self.limit:
             self.clear()
-        self[cut] = ids
+            self.held = 0
+        if size <= self.limit // 64:
+            self.held += size
+            self[cut] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
@@ -141,7 +147,7 @@ class Decoder:
 
 
 def _model(shared) -> tuple[Encoder, Decoder]:
-    state, key = worker_state(), ("pieces", shared.value["key"])
+    state, key = worker_state("pieces"), ("pieces", shared.value["key"])
     if key not in state:
         state[key] = (Encoder(shared.value), Decoder(shared.value))
     return state[key]
@@ -165,46 +171,38 @@ def _lists(rows) -> pa.ListArray:
     return got
 
 
-SLICE_CHARS = 4_000_000
+SLICE = 1 << 21  # bytes of text encoded at once, about
+RESULTS = ("n_pieces", "piece_ids", "round_trip")
 
 
-def _slices(batch, column):
-    """Parts of a batch with about ``SLICE_CHARS`` characters, so that results stay small."""
-    sizes = np.array([len(t or "") for t in batch.column(column).to_pylist()])
-    part = np.cumsum(sizes) // SLICE_CHARS
-    edges = np.flatnonzero(np.diff(part)) + 1
-    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
-def _encode_batches(shared, keep, check):
+def _encode_batches(shared, check):
     def run(batches):
         enc, dec = _model(shared)
-        for whole in batches:
-            for b in _slices(whole, "_text"):
-                texts = b.column("_text").to_pylist()
-                ids = [None if t is None else enc.encode(t) for t in texts]
-                columns = [b.column(c) for c in keep]
-                columns += [pa.array([None if i is None else len(i) for i in ids], pa.int64()), _lists(ids)]
-                names = [*keep, "n_pieces", "piece_ids"]
-                if check:
-                    same = [None if t is None else dec.decode(i.tolist()) == t.replace(MARK, " ")
-                            for t, i in zip(texts, ids)]
-                    columns.append(pa.array(same, pa.bool_()))
-                    names.append("round_trip")
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for b in batch_slices(batches, "text", SLICE):
+            texts = b.column("text").to_pylist()
+            ids = [None if t is None else enc.encode(t) for t in texts]
+            columns = [b.column("row"), pa.array([None if i is None else len(i) for i in ids], pa.int64()), _lists(ids)]
+            if check:
+                same = [None if t is None else dec.decode(i.tolist()) == t.replace(MARK, " ")
+                        for t, i in zip(texts, ids)]
+                columns.append(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, ["row", *RESULTS][:len(columns)])
     return run
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
            check: bool = False) -> DataFrame:
     """``keep`` columns with ``n_pieces`` and ``piece_ids`` of each whole text;
-    ``check`` adds whether decoding the ids gives the text back."""
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema = kinds + ", n_pieces long, piece_ids array<int>" + (", round_trip boolean" if check else "")
-    return rows.mapInArrow(_encode_batches(_share(docs.sparkSession, model), keep, check), schema)
+    ``check`` adds whether decoding the ids gives the text back.  The results replace
+    columns of ``keep`` of their names."""
+    results = RESULTS if check else RESULTS[:2]
+    keep = [c for c in keep if c not in results]
+    rows = docs.select(F.struct(*[F.col(quoted(c)) for c in keep] or [F.lit(0).alias("none")]).alias("row"),
+                       F.col(quoted(text_col)).cast("string").alias("text"))
+    schema = StructType([rows.schema["row"], *(StructField(c, t) for c, t in zip(
+        results, (LongType(), ArrayType(IntegerType()), BooleanType())))])
+    out = rows.mapInArrow(_encode_batches(_share(docs.sparkSession, model), check), schema)
+    return out.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in keep], *results)
 
 
 def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",), ids_col: str = "piece_ids") -> DataFrame:

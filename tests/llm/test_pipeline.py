@@ -72,10 +72,17 @@ def test_pipeline_like_a_plain_version(spark):
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
     odd = spark.createDataFrame([(None, None, None, None, None), (9001, "", "en", "s", 0), (9002, "---", None, "s", 3)], docs.schema)
-    docs = docs.unionByName(odd).withColumn("key", F.lit("clash"))
+    names = ["_text", "_digest", "_id", "rid", "id", "row", "text2 `x`", "digest", "known", "n_pieces", "key"]
+    docs = docs.unionByName(odd)
+    for n in names:
+        docs = docs.withColumn(n, F.lit("clash"))
+    columns = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "")
-        assert docs.columns[-1] == "key" and docs.count() > 0
+        assert docs.columns == columns and docs.count() > 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert last.columns == [c for c in columns if c not in ("text", "n_pieces")] + ["n_pieces", "piece_ids"]
+    assert last.where("`text2 ``x``` = 'clash'").count() == docs.count()
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
