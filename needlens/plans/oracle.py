@@ -305,8 +305,12 @@ FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""
 
     q["persona_matrix"] = f"""
 WITH {order_records}
-PIVOT (SELECT need_cluster_id, upper(user_type) AS segment FROM r)
-ON segment USING count(*) GROUP BY need_cluster_id"""
+SELECT need_cluster_id, count(*) FILTER (WHERE user_type = 'automobile') AS "AUTOMOBILE",
+       count(*) FILTER (WHERE user_type = 'building') AS "BUILDING",
+       count(*) FILTER (WHERE user_type = 'furniture') AS "FURNITURE",
+       count(*) FILTER (WHERE user_type = 'household') AS "HOUSEHOLD",
+       count(*) FILTER (WHERE user_type = 'machinery') AS "MACHINERY"
+FROM r GROUP BY need_cluster_id"""
 
     q["topics_over_time"] = """
 SELECT event_type AS topic, CAST(ts AS DATE) AS day, count(*) AS n_posts, count(DISTINCT user_id) AS n_users
@@ -504,7 +508,8 @@ SELECT * FROM p WHERE length(text) > 20 AND {_latin('text')}"""
     q["render_prompts"] = f"""
 SELECT p_partkey, {rendered} AS prompt, length({rendered}) AS prompt_chars FROM part"""
 
-    from needlens.plans import oracle_answers, oracle_specs
+    from needlens.plans import oracle_answers, oracle_specs, oracle_stages
     oracle_answers.add(q)
     oracle_specs.add(q, opp)
+    oracle_stages.add(q, _posts_cte(), _stop_list(), _latin('text'))
     return q

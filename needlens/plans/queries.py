@@ -407,13 +407,35 @@ RADIUS_EPS = 1.15
 
 @query
 def radius_pairs(spark, sf_dir):
-    """J5, pivot partitioning: all embedding pairs within Euclidean 1.15."""
-    from needlens.operators.neighbors import radius_pairs_pivot
+    """J5, partition tree: all embedding pairs within Euclidean 1.15."""
+    from needlens.operators.metrictree import radius_pairs_tree
     emb = load(spark, sf_dir, "embeddings")
-    pairs = radius_pairs_pivot(emb, "vec_id", "embedding", RADIUS_EPS)
+    pairs = radius_pairs_tree(emb, "vec_id", "embedding", RADIUS_EPS)
     return pairs.select("id_a", "id_b", F.round("dist", 9).alias("dist"))
 
 
+@query
+def radius_pairs_hashed(spark, sf_dir):
+    """J5, p-stable hashing: embedding pairs within 1.15, each with probability 0.95 at least."""
+    from needlens.operators.lsh import radius_pairs_lsh
+    emb = load(spark, sf_dir, "embeddings")
+    pairs = radius_pairs_lsh(emb, "vec_id", "embedding", RADIUS_EPS)
+    return pairs.select("id_a", "id_b", F.round("dist", 9).alias("dist"))
+
+
+@query
+def nearest_neighbours(spark, sf_dir):
+    """J5, partition tree: the five nearest other embeddings of each."""
+    from needlens.operators.metrictree import build, distinct_points, nearest
+    from needlens.operators.scratch import Scratch
+    scratch = Scratch(spark, "neighbours")
+    points, members = distinct_points(load(spark, sf_dir, "embeddings"), "vec_id", "embedding", scratch)
+    lists = nearest(build(points, scratch), 5)
+    rows = lists.select("id", F.posexplode(F.arrays_zip("ids", "ds")).alias("pos", "x"))
+    return rows.select(F.col("id").alias("vec_id"), (F.col("pos") + 1).alias("rank"), F.col("x.ids").alias("other"),
+                       F.round("x.ds", 9).alias("dist"))
+
+
 DENSITY_EPS = 0.25
 
 
@@ -438,6 +460,30 @@ def density_clusters(spark, sf_dir):
     return dbscan(feats, "user_id", "v", DENSITY_EPS, 3, 5)
 
 
+@query
+def reachability_tree(spark, sf_dir):
+    """Minimum spanning tree of the users under mutual reachability (third neighbour)."""
+    from needlens.operators import hierarchy as H
+    from needlens.operators import metrictree as M
+    from needlens.operators.scratch import Scratch
+    scratch = Scratch(spark, "tree")
+    feats = _user_features(spark, sf_dir).withColumn("v", F.array("x", "y"))
+    points, members = M.distinct_points(feats, "user_id", "v", scratch)
+    tree = M.build(points, scratch)
+    lists = M.nearest(tree, H.NEIGHBOURS)
+    cores = scratch.keep(H.core_distances(tree, lists, 3), "cores")
+    edges = H.spanning_tree(H.spanning_levels(tree, lists, cores, H.NEIGHBOURS))
+    return edges.select("lo", "hi", F.round("w", 9).alias("w"))
+
+
+@query
+def varied_density_clusters(spark, sf_dir):
+    """C3 (HDBSCAN*, min_samples 3, min size 5) on the users, no radius given."""
+    from needlens.operators.hierarchy import hdbscan
+    feats = _user_features(spark, sf_dir).withColumn("v", F.array("x", "y"))
+    return hdbscan(feats, "user_id", "v", 3, 5)
+
+
 @query
 def grid_pairs(spark, sf_dir):
     """J5, grid: pairs of users within 0.25 in the z-scored feature plane."""
@@ -559,6 +605,14 @@ def pipeline_specs(spark, sf_dir):
                             F.col("opportunity.final_score").alias("final_score"), "post_count")
 
 
+def _checked():
+    from needlens.plans import checked
+    return {f.__name__: f for f in (checked.topic_stage, checked.need_stage, checked.full_run, checked.run_metrics)}
+
+
+QUERIES.update(_checked())  # the same stages with given labels, which SQL can check
+
+
 # --- specs and report on event clusters (C13, P20, P21, J6, S7, W7) ---------------
 
 def _top_event_clusters(spark, sf_dir):

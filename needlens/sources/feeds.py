@@ -8,9 +8,9 @@ kept in ``_bad``.
 
 Input: either JSON-lines files (one feed document per line: many documents,
 read in parallel) or whole JSON files (``whole_files=True``, one document per
-file).  Arrival order ``ord`` = (document order, topic position, post
-position); the document order is the ``seq`` key of the document when
-present, else the file path order and line position.
+file).  Arrival order ``ord`` numbers the posts by (document order, topic
+position, post position); the document order is the ``seq`` key of the document
+when present, else the file path order and line position.
 """
 
 from __future__ import annotations
@@ -22,9 +22,6 @@ from needlens.functions import post as P
 from needlens.functions.respond import Field
 from needlens.functions.text import normalize_topic, strip
 
-POST_SLOTS = 1 << 20   # posts per topic entry in ord
-TOPIC_SLOTS = 1 << 12  # topics per document in ord
-
 
 def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """``doc_ord, doc`` (VARIANT) for every feed document under ``path``.
@@ -85,14 +82,28 @@ TASK_POST_FIELDS = ("id", "post_title", "post_description", "post_type", "creato
                     "interactions_24h", "interactions_total", "post_sentiment", "post_created")
 
 
-def parse_task_posts(items: DataFrame) -> DataFrame:
-    """P1-P7 for task-feed posts; ``items`` has ``item`` (VARIANT), ``topic``, ``ord``.
+ARRIVAL = ("doc_ord", "t_pos", "p_pos")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``ord``, 0.. in the order of arrival, written once: the rules that
+    follow read plain columns and are compiled on their own."""
+    from needlens.operators.ranking import global_row_number
+    keys = list(ARRIVAL)
+    return global_row_number(rows, keys, [True] * 3, "_n").withColumn("ord", F.col("_n") - 1).drop("_n", *keys)
+
+
+def parse_task_posts(items: DataFrame, numbered: bool = True) -> DataFrame:
+    """P1-P7 for task-feed posts; ``items`` has ``item`` (VARIANT), ``topic`` and the
+    arrival columns.
 
     Each field (VARIANT) and its JSON type are materialised once, then the
-    rules read those columns.
+    rules read those columns.  On a stream nothing can be numbered: ``ord`` is then
+    the arrival columns as a struct, which sorts the same way.
     """
     from needlens.functions.respond import as_string, extract_fields, fld, is_falsy, is_missing, is_string
-    d = extract_fields(items, "item", TASK_POST_FIELDS, "_p")
+    d = extract_fields(items, "item", TASK_POST_FIELDS, "_p").drop("item")
+    d = _numbered(d) if numbered else d.withColumn("ord", F.struct(*ARRIVAL))
     f = lambda n: fld(n, "_p")
     title, ok_t = _truthy_text(f("post_title"))
     desc, ok_d = _truthy_text(f("post_description"))
@@ -127,8 +138,6 @@ def _posts_of(entries: DataFrame) -> DataFrame:
         "topic", "doc_ord", "t_pos",
         F.posexplode(F.coalesce(F.try_variant_get("entry", "$.posts", "array<variant>"),
                                 F.array().cast("array<variant>"))).alias("p_pos", "item"))
-    items = items.withColumn("ord", F.col("doc_ord") * (TOPIC_SLOTS * POST_SLOTS)
-                             + F.col("t_pos") * POST_SLOTS + F.col("p_pos"))
     return parse_task_posts(items)
 
 
@@ -223,7 +232,8 @@ def read_flat_feed(spark: SparkSession, path: str, topic: str, whole_files: bool
         _id_text(_vf(it, "$.id")).alias("post_id"), text.alias("text"), creator.alias("creator_id"),
         network.alias("network"), followers.alias("creator_followers"), P.interactions(i24, itot).alias("interactions"),
         sent.alias("sentiment_lc"), ts.alias("timestamp"), F.lit(topic).alias("topic"),
-        (F.col("doc_ord") * POST_SLOTS + F.col("p_pos")).alias("ord"), (ok_inter & ok_followers).alias("_counts"))
+        "doc_ord", F.lit(0).alias("t_pos"), "p_pos", (ok_inter & ok_followers).alias("_counts"))
+    out = _numbered(out)
     read = F.col("_counts")
     for c in ("text", "network", "sentiment_lc", "timestamp"):
         read = read & F.col(c).isNotNull()

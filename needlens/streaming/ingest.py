@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from needlens.plans.collect import keep_posts
 from needlens.session import ensure_checkpoint_dir
-from needlens.sources.feeds import TOPIC_SLOTS, POST_SLOTS, parse_task_posts
+from needlens.sources.feeds import parse_task_posts
 
 
 def stream_posts(spark: SparkSession, path: str, watermark: str = "7 days") -> DataFrame:
@@ -32,9 +32,7 @@ def stream_posts(spark: SparkSession, path: str, watermark: str = "7 days") -> D
     items = entries.select("topic", "doc_ord", "t_pos", F.posexplode(F.coalesce(
         F.try_variant_get("entry", "$.posts", "array<variant>"),
         F.array().cast("array<variant>"))).alias("p_pos", "item"))
-    items = items.withColumn("ord", F.col("doc_ord") * (TOPIC_SLOTS * POST_SLOTS)
-                             + F.col("t_pos") * POST_SLOTS + F.col("p_pos"))
-    posts = keep_posts(parse_task_posts(items).where("_ok").drop("_ok"))
+    posts = keep_posts(parse_task_posts(items, numbered=False).where("_ok").drop("_ok"))
     return (posts.withWatermark("timestamp", watermark)
                  .dropDuplicatesWithinWatermark(["post_id"]))
 

@@ -35,13 +35,15 @@ def test_hits_serve_stored_values(spark):
 def test_l2_metrics_count_skips_and_errors(spark):
     from needlens.plans.needs import extract_needs, l2_metrics
     posts = spark.createDataFrame(
-        [(str(i), t, i, None, "btc", None, None) for i, t in enumerate(
-            ["crypto wallet fees are too expensive for me", "i love food and travel and sports", "x" * 30])],
+        [(str(i), t, i, None, "btc", None, None) for i, t in enumerate(["about money", "about food", "no answer", "money again"])],
         "post_id string, text string, ord long, timestamp timestamp, topic string, topic_label string, "
         "topic_keywords array<string>")
-    m = l2_metrics(extract_needs(posts)).first()
-    assert m["records"] + m["skipped_off_domain"] + m["errors"] == 3
-    assert m["skipped_off_domain"] == 1
+
+    def answer(prompts):
+        texts = [p.split("Post:\n")[1] for p in prompts]
+        return ["none" if t == "no answer" else '{"is_financial": %s}' % str("money" in t).lower() for t in texts]
+    m = l2_metrics(extract_needs(posts, answer)).first()
+    assert (m["records"], m["skipped_off_domain"], m["errors"]) == (2, 1, 1)
 
 
 def test_global_trend_series_form(spark):

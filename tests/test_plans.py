@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 # queries whose plans are built from table scans alone (the clustering stages
 # run jobs while they are built and are checked elsewhere)
 TABLE_QUERIES = [n for n in QUERIES if n not in (
-    "topic_pipeline", "need_clusters", "pipeline_specs", "density_clusters", "user_segments", "merged_topics")]
+    "topic_pipeline", "need_clusters", "pipeline_specs", "density_clusters", "user_segments", "merged_topics",
+    "topic_stage", "need_stage", "full_run", "run_metrics", "varied_density_clusters")]
 
 
 def plan(df) -> str:
