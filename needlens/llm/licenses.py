@@ -1,14 +1,17 @@
 """Licence scan by Dice coefficient over word bigrams (operator 6), with
 DataFrame functions only.
 
-Every line of a document, and the whole document if it has several lines, is a
-unit.  A unit and a licence template are compared by the sets of their word
+Units are every line of a document, the whole document if it has several lines, and
+windows of a template's length in the words of the document, so that notices which are
+wrapped over lines, or stand inside a longer line or text, are found.  A unit and a licence template are compared by the sets of their word
 bigrams: ``2 |A n B| / (|A| + |B|)``.  A coefficient of at least ``t`` needs sizes
 within ``t / (2 - t)`` of each other, which prunes templates (and whole
 documents) before any set is built.  Before that a unit must hold an anchor:
 a match shares so many bigrams with its template that it cannot miss all those
-around the template's anchor words.  All work happens within the row; nothing
-is shuffled.
+around the template's anchor words.  Windows start where an anchor bigram of a
+template (its rarest, as many as a match can't miss all of) places the template's first
+word; of overlapping windows the best one is told.  All work happens within the row;
+nothing is shuffled.
 
 Normalisation: lower case, runs of anything but letters and digits are one blank.
 
@@ -92,6 +95,17 @@ def anchor_words(sets: dict[str, list[str]], threshold: float) -> list[str]:
     return [w for w in chosen if not any(c != w and c in w for c in chosen)]
 
 
+def window_anchors(text: str, threshold: float) -> tuple[int, dict[str, int]]:
+    """Bigrams of a template's text in a row, and its anchor bigrams with the place of
+    each: so many that a window which reaches the threshold holds one, long words first."""
+    words = re.sub(r"[\W_]+", " ", text.lower()).strip().split(" ")
+    row = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    n = len(set(row))
+    need = n - math.ceil(n * threshold / (2 - threshold) - 1e-9) + 1
+    once = sorted((b for b in set(row) if row.count(b) == 1), key=lambda b: (-max(map(len, b.split(" "))), b))
+    return len(row), {b: row.index(b) for b in once[:need]}
+
+
 def has_anchor(unit: Column, anchors: list[str]) -> Column:
     found = F.lit(False)
     for w in anchors:
@@ -112,8 +126,8 @@ def bigrams(words: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
-    """``id, line_no`` (-1: the whole document), ``template, license, shared,
-    unit_bigrams, dice`` of every match."""
+    """``id, line_no`` (-1: the whole document, -2: a window), ``first_word`` (of a
+    window), ``template, license, shared, unit_bigrams, dice`` of every match."""
     sets = {name: template_bigrams(t) for name, t in (TEMPLATES if templates is None else templates).items()}
     sets = {name: s for name, s in sets.items() if s}
     ratio = threshold / (2 - threshold)
@@ -122,8 +136,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     known = sorted({b for s in sets.values() for b in s})
     anchors = anchor_words(sets, threshold)
     # generated columns are computed once a row, whatever filters name them
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(F.array(F.lower(F.col(text_col)))).alias("low"))
-    rows = rows.where(has_anchor(F.col("low"), anchors))
+    texts = docs.select(F.col(id_col).alias("id"), F.explode(F.array(F.lower(F.col(text_col)))).alias("low"))
+    texts = texts.where(has_anchor(F.col("low"), anchors))
+    rows = texts
     whole = F.when(F.contains("low", F.lit("\n")), F.array("low")).otherwise(F.array().cast("array<string>"))
     rows = rows.select("id", F.posexplode(F.concat(F.split("low", "\n"), whole)).alias("line_no", "unit"))
     rows = rows.where(has_anchor(F.col("unit"), anchors)).select(
@@ -145,9 +160,51 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         matches = [F.struct(F.lit("").alias("template"), F.lit(1).alias("size"), F.lit(0).alias("shared"))]
     rows = rows.select("id", "line_no", "unit_bigrams", F.explode(F.array(*matches)).alias("m"))
     dice = 2.0 * F.col("m.shared") / (F.col("unit_bigrams") + F.col("m.size"))
-    return rows.where(dice >= threshold).select(
-        "id", "line_no", F.col("m.template").alias("template"), F.split_part(F.col("m.template"), F.lit("/"), F.lit(1)).alias("license"),
+    units = rows.where(dice >= threshold).select(
+        "id", "line_no", F.lit(None).cast("int").alias("first_word"), F.col("m.template").alias("template"), F.split_part(F.col("m.template"), F.lit("/"), F.lit(1)).alias("license"),
         F.col("m.shared").alias("shared"), "unit_bigrams", F.round(dice, 9).alias("dice"))
+    return units.unionByName(window_matches(texts, sets, TEMPLATES if templates is None else templates, threshold))
+
+
+def window_matches(texts: DataFrame, sets: dict[str, list[str]], templates: dict[str, str], threshold: float) -> DataFrame:
+    """Matches of windows in the whole texts (``id, low``)."""
+    anchors = {name: window_anchors(templates[name], threshold) for name in sets}
+    every = sorted({b for _, places in anchors.values() for b in places})
+    words = texts.select("id", F.split(normalise(F.col("low")), " ").alias("words")).where(F.size("words") > 1)
+    rows = words.select("id", F.explode(F.array(bigrams(F.col("words")))).alias("row"))
+    hit = lambda b, i: F.when(b.isin(every) if every else F.lit(False), F.struct(b.alias("b"), i.alias("i")))
+    rows = rows.select("id", "row", F.explode(F.array(F.filter(F.transform("row", hit), lambda x: x.isNotNull()))).alias("hits"))
+    rows = rows.where(F.size("hits") > 0)
+    found = []
+    for name, bag in sets.items():
+        length, places = anchors[name]
+        of = F.array(*[F.lit(b) for b in bag])
+        place = F.create_map(*[F.lit(x) for item in places.items() for x in item])
+        last = F.greatest(F.lit(0), F.size("row") - length)
+        start = lambda x: F.greatest(F.lit(0), F.least(x["i"] - F.try_element_at(place, x["b"]), last))
+        mine = F.filter("hits", lambda x: x["b"].isin(list(places)))
+        starts = F.array_distinct(F.transform(mine, start))
+
+        def window(s):
+            part = F.slice("row", s + 1, F.lit(length))
+            shared, size = F.size(F.array_intersect(part, of)), F.size(F.array_distinct(part))
+            return F.struct(F.lit(name).alias("template"), F.lit(length).alias("length"), s.alias("first_word"), shared.alias("shared"),
+                            size.alias("size"), (2.0 * shared / (size + len(bag))).alias("dice"))
+        found.append(F.filter(F.transform(starts, window), lambda w: w["dice"] >= threshold))
+    if not found:
+        rows, found = rows.where(F.lit(False)), [F.array(F.struct(
+            F.lit("").alias("template"), F.lit(0).alias("length"), F.lit(0).alias("first_word"), F.lit(0).alias("shared"),
+            F.lit(0).alias("size"), F.lit(0.0).alias("dice")))]
+    rows = rows.select("id", F.explode(F.array(F.concat(*found))).alias("found")).where(F.size("found") > 0)
+
+    def beaten(w):
+        return F.exists("found", lambda o: (o["template"] == w["template"])
+                        & (F.abs(o["first_word"] - w["first_word"]) < w["length"])
+                        & ((o["dice"] > w["dice"]) | ((o["dice"] == w["dice"]) & (o["first_word"] < w["first_word"]))))
+    rows = rows.select("id", F.explode(F.filter("found", lambda w: ~beaten(w))).alias("w"))
+    return rows.select(
+        "id", F.lit(-2).alias("line_no"), "w.first_word", "w.template", F.split_part(F.col("w.template"), F.lit("/"), F.lit(1)).alias("license"),
+        "w.shared", F.col("w.size").alias("unit_bigrams"), F.round("w.dice", 9).alias("dice"))
 
 
 def op6_license_scan(spark, sf_dir):
@@ -158,9 +215,15 @@ def op6_license_scan(spark, sf_dir):
 
 def op6_sql() -> str:
     values = ", ".join("('{}', ['{}'])".format(n, "', '".join(template_bigrams(t))) for n, t in TEMPLATES.items())
+    places = ", ".join(f"('{n}', {length}, '{b}', {q})" for n, t in TEMPLATES.items()
+                       for length, a in [window_anchors(t, THRESHOLD)] for b, q in a.items())
     return rf"""
 WITH t(template, b) AS (VALUES {values}),
-d AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS norm FROM documents),
+a(template, length, bigram, place) AS (VALUES {places}),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS norm
+  FROM documents
+),
 u AS (
   SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS unit FROM (SELECT doc_id, string_split(norm, chr(10)) AS l FROM d)
   UNION ALL
@@ -172,7 +235,25 @@ u AS (
 ), m AS (
   SELECT doc_id, line_no, template, len(list_intersect(found, t.b)) AS shared, len(found) AS unit_bigrams, len(t.b) AS size
   FROM b JOIN t ON list_has_any(found, t.b)
+), dw AS (
+  SELECT rid, doc_id, list_filter(string_split(replace(norm, chr(10), ' '), ' '), lambda x: x <> '') AS w FROM d
+), dr AS (
+  SELECT rid, doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS r FROM dw WHERE len(w) > 1
+), h AS (
+  SELECT DISTINCT x.rid, a.template, a.length, greatest(0, least(x.i - a.place, greatest(0, x.n - a.length))) AS s
+  FROM (SELECT rid, len(r) AS n, unnest(r) AS bigram, unnest(range(len(r))) AS i FROM dr) x JOIN a USING (bigram)
+), c AS (
+  SELECT h.rid, dr.doc_id, h.template, h.length, h.s, len(list_intersect(list_distinct(r[s + 1:s + length]), t.b)) AS shared,
+         len(list_distinct(r[s + 1:s + length])) AS unit_bigrams, len(t.b) AS size
+  FROM h JOIN dr USING (rid) JOIN t USING (template)
+), p AS (
+  SELECT *, 2.0::DOUBLE * shared / (unit_bigrams + size) AS dice FROM c WHERE 2.0::DOUBLE * shared / (unit_bigrams + size) >= 0.8::DOUBLE
 )
-SELECT doc_id, line_no, template, split_part(template, '/', 1) AS license, shared, unit_bigrams,
+SELECT doc_id, line_no, CAST(NULL AS INTEGER) AS first_word, template, split_part(template, '/', 1) AS license, shared, unit_bigrams,
        round(2.0::DOUBLE * shared / (unit_bigrams + size), 9) AS dice
-FROM m WHERE 2.0::DOUBLE * shared / (unit_bigrams + size) >= 0.8"""
+FROM m WHERE 2.0::DOUBLE * shared / (unit_bigrams + size) >= 0.8
+UNION ALL
+SELECT doc_id, -2, CAST(s AS INTEGER), template, split_part(template, '/', 1), shared, unit_bigrams, round(dice, 9)
+FROM p WHERE NOT EXISTS (
+  SELECT 1 FROM p o WHERE o.rid = p.rid AND o.template = p.template AND abs(o.s - p.s) < p.length
+    AND (o.dice > p.dice OR (o.dice = p.dice AND o.s < p.s)))"""
