@@ -24,7 +24,9 @@ HEADLINE = [
     "run_list", "cluster_centroids", "representatives", "radius_pairs", "grid_pairs", "density_clusters",
     "extract_records", "render_prompts", "refined_specs", "report_rows", "feed_ingest", "user_segments",
     "merged_topics",
-    "topic_pipeline", "pipeline_specs",
+    "nearest_neighbours", "radius_pairs_hashed", "reachability_tree", "varied_density_clusters", "single_topic_feed",
+    "feed_states", "flat_feed", "stored_or_fetched", "purged_results", "topic_stage", "need_stage", "full_run", "run_metrics",
+    "topic_pipeline", "need_clusters", "pipeline_specs",
 ]
 
 

@@ -498,6 +498,31 @@ WITH p AS (
   FROM documents
 )
 SELECT * FROM p WHERE length(text) > 20 AND {_latin('text')}"""
+    bad = "(doc_id % 14 = 3 OR doc_id % 17 = 5 OR doc_id % 19 = 0)"
+    q["single_topic_feed"] = f"""
+SELECT CAST(doc_id AS VARCHAR) AS post_id, 'every-source' AS topic,
+       trim(lang || CASE WHEN text <> '' THEN ' ' || text ELSE '' END, {ws}) AS text,
+       replace(replace(source || '-post', '-post', ''), '-', '_') AS network,
+       coalesce(nullif(n_chars % 7, 0), nullif(n_chars % 5, 0), 0) AS interactions,
+       (CASE WHEN n_chars % 6 = 0 THEN 2.5::DOUBLE ELSE (n_chars % 6)::DOUBLE END) * 20.0::DOUBLE AS sentiment_lc,
+       make_timestamp((1705312800 + doc_id * 60) * 1000000) AS timestamp,
+       (SELECT max(doc_id // 50) / 100.0::DOUBLE FROM documents) AS velocity
+FROM documents WHERE NOT {bad}"""
+    q["feed_states"] = f"""
+SELECT source AS topic, count(*) AS n_posts, count(*) FILTER (WHERE {bad}) AS n_malformed,
+       max(doc_id // 50) / 100.0::DOUBLE AS velocity
+FROM documents GROUP BY source"""
+    q["flat_feed"] = """
+SELECT CAST(doc_id AS VARCHAR) AS post_id, 'flat' AS topic, text,
+       CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN split_part(source || '-post', '-', 1) ELSE 'unknown' END AS network,
+       lang AS creator_id, coalesce(nullif(n_chars % 7, 0), nullif(n_chars % 5, 0), 0) AS interactions,
+       CASE WHEN doc_id % 6 = 0 AND n_chars % 5 <> 0 THEN (n_chars % 5)::DOUBLE
+            WHEN doc_id % 6 < 2 THEN (30 + doc_id % 7)::DOUBLE ELSE 50.0::DOUBLE END AS sentiment_lc,
+       CASE WHEN doc_id % 5 = 0 THEN TIMESTAMP '2024-02-01 10:00:00'
+            WHEN doc_id % 5 < 3 THEN make_timestamp((1705312800 + doc_id * 60) * 1000000)
+            ELSE TIMESTAMP '2024-01-01 00:00:00' END AS timestamp
+FROM documents WHERE doc_id % 29 <> 3 AND doc_id % 23 <> 7"""
+
     from needlens.plans.prompts import SOLUTIONS
     tmpl = "'" + SOLUTIONS.replace("'", "''") + "'"
     quote = "chr(39)"  # a single quote, as in Python's list text

@@ -710,6 +710,46 @@ def feed_ingest(spark, sf_dir):
                        "sentiment_lc", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "topic")
 
 
+def _written_feed(spark, lines) -> str:
+    import os
+    import uuid
+    from needlens.session import stage_dir
+    path = os.path.join(stage_dir(spark, "feeds"), uuid.uuid4().hex)
+    lines.write.text(path)
+    return path
+
+
+@query
+def single_topic_feed(spark, sf_dir):
+    """The readable posts of a single-topic feed, with the topic's last state."""
+    from needlens.sources.feeds import documents_as_topic_feed, good_posts, read_topic_feed
+    path = _written_feed(spark, documents_as_topic_feed(load(spark, sf_dir, "documents"), F.lit("Every Source"), True))
+    posts, states = read_topic_feed(spark, path, "every-source")
+    rows = good_posts(posts).join(states.select("topic", "velocity"), "topic")
+    return rows.select("post_id", "topic", "text", "network", "interactions", "sentiment_lc",
+                       F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "velocity")
+
+
+@query
+def feed_states(spark, sf_dir):
+    """Posts, malformed posts and last state of every topic of a feed."""
+    from needlens.sources.feeds import documents_as_topic_feed, read_task_feed
+    path = _written_feed(spark, documents_as_topic_feed(load(spark, sf_dir, "documents"), F.col("source"), False))
+    posts, states = read_task_feed(spark, path)
+    counts = posts.groupBy("topic").agg(F.count(F.lit(1)).alias("n_posts"), F.count_if(~F.col("_ok")).alias("n_malformed"))
+    return counts.join(states.select("topic", "velocity"), "topic")
+
+
+@query
+def flat_feed(spark, sf_dir):
+    """The readable posts of a flat feed by their fallback chains."""
+    from needlens.sources.feeds import documents_as_flat_feed, good_posts, read_flat_feed
+    path = _written_feed(spark, documents_as_flat_feed(load(spark, sf_dir, "documents")))
+    return good_posts(read_flat_feed(spark, path, "flat")).select(
+        "post_id", "topic", "text", "network", "creator_id", "interactions", "sentiment_lc",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
 # --- documented extensions (D3, D4) --------------------------------------------------
 
 @query

@@ -275,3 +275,57 @@ def documents_as_task_feed(documents: DataFrame, chunk: int = 50) -> DataFrame:
                          F.struct(F.lit(0.1).alias("velocity")).alias("state"),
                          F.transform("ps", lambda x: x["p"]).alias("posts"))).alias("topics")).alias("data"))
     return both.select(F.to_json(doc).alias("value"))
+
+
+def _post_struct():
+    """A post of a text table; by its id some have a type that is null, a time or a
+    sentiment that is no number."""
+    i = F.col("doc_id")
+    created = F.when(i % 17 == 5, F.lit("yesterday").cast("variant")).otherwise((F.lit(1705312800) + i * 60).cast("variant"))
+    feeling = F.when(i % 19 == 0, F.lit("high").cast("variant")).otherwise((F.col("n_chars") % 6).cast("variant"))
+    return F.struct(
+        i.alias("id"), F.col("lang").alias("post_title"), F.col("text").alias("post_description"),
+        F.when(i % 14 != 3, F.concat(F.col("source"), F.lit("-post"))).alias("post_type"), F.col("lang").alias("creator_id"),
+        (F.col("n_chars") % 7).alias("interactions_24h"), (F.col("n_chars") % 5).alias("interactions_total"),
+        feeling.alias("post_sentiment"), created.alias("post_created"))
+
+
+def documents_as_topic_feed(documents: DataFrame, topic: Column, single: bool, chunk: int = 50) -> DataFrame:
+    """Feed JSON lines (``value``) of ``chunk`` posts each with malformed posts among
+    them: single-topic documents or multi-topic ones of one entry.  The state's velocity
+    is the block's number over 100."""
+    blk = F.floor(F.col("doc_id") / chunk)
+    rows = documents.groupBy(topic.alias("topic"), blk.alias("blk")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", F.to_json(_post_struct(), {"ignoreNullFields": "false"}).alias("p")))).alias("ps"))
+    posts = F.concat(F.lit("["), F.array_join(F.transform("ps", lambda x: x["p"]), ","), F.lit("]"))
+    head = F.concat(F.lit('"topic": '), F.to_json(F.struct("topic")).substr(F.lit(10), F.length(F.to_json(F.struct("topic"))) - 10),
+                    F.lit(', "state": {"velocity": '), (F.col("blk") / 100).cast("string"), F.lit('}, "posts": '), posts)
+    body = head if single else F.concat(F.lit('"topics": [{'), head, F.lit("}]"))
+    return rows.select(F.concat(F.lit('{"data": {"task_id": "t", "seq": '), F.col("blk").cast("string"), F.lit(", "), body, F.lit("}}")).alias("value"))
+
+
+def documents_as_flat_feed(documents: DataFrame, chunk: int = 50) -> DataFrame:
+    """Flat feed JSON lines (``value``): each field of a post under one of the names of
+    its fallback chain, by the post's id; some posts hold values that can't be read."""
+    i, n = F.col("doc_id"), F.col("n_chars")
+    epoch = F.lit(1705312800) + i * 60
+    post = F.struct(
+        i.alias("id"), F.when(i % 4 == 0, F.col("text")).when(i % 4 == 1, F.lit("")).alias("body"),
+        F.when(i % 4 == 1, F.col("text")).alias("text"), F.when(i % 4 == 2, F.col("text")).alias("post_title"),
+        F.when(i % 4 == 3, F.col("text")).alias("title"), F.when(i % 3 == 0, F.col("source")).alias("network"),
+        F.when(i % 3 == 1, F.concat("source", F.lit("-post"))).alias("post_type"),
+        F.when(i % 5 == 0, F.lit("2024-02-01T10:00:00")).alias("created_at"), F.when(i % 5 == 1, epoch).alias("post_created"),
+        F.when(i % 5 == 2, epoch).alias("time"),
+        F.when(i % 29 == 3, F.lit("high").cast("variant")).when(i % 6 == 0, (n % 5).cast("variant")).alias("post_sentiment"),
+        F.when(i % 6 < 2, 30 + i % 7).alias("sentiment"), F.when(i % 2 == 0, F.col("lang")).alias("creator_id"),
+        F.when(i % 2 == 1, F.col("lang")).alias("user_id"),
+        F.when(i % 23 == 7, F.lit("many").cast("variant")).otherwise((n % 7).cast("variant")).alias("interactions_24h"),
+        (n % 5).alias("interactions"))
+    rows = documents.groupBy(F.floor(i / chunk).alias("blk")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", F.to_json(post).alias("p")))).alias("ps"))
+    return rows.select(F.concat(F.lit('{"data": ['), F.array_join(F.transform("ps", lambda x: x["p"]), ","), F.lit("]}")).alias("value"))
+
+
+def read_topic_file(spark: SparkSession, folder: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """S3: exactly the file ``topic_{topic}.json`` of ``folder``, in either shape."""
+    return read_topic_feed(spark, f"{folder.rstrip('/')}/topic_{topic}.json", topic, whole_files=True)

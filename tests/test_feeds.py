@@ -105,3 +105,15 @@ def test_flat_feed_malformed_posts(spark):
     assert got["good"]["sentiment_lc"] == 61.0 and got["good"]["network"] == "forum"
     assert got["net"]["network"] == "blog" and got["next"]["interactions"] == 3
     assert got["bare"]["network"] == "unknown" and got["bare"]["text"] == ""
+
+
+def test_topic_file_reads_exactly_its_file(spark, feed_dir):
+    from needlens.sources.feeds import read_topic_file
+    with open(os.path.join(feed_dir, "topic_oil.json"), "w") as f:
+        json.dump({"data": {"topic": "oil", "posts": [{"id": 1, "post_title": "Oil prices keep rising every single week"}]}}, f)
+    posts, _ = read_topic_file(spark, feed_dir, "defi")
+    assert {r["post_id"] for r in good_posts(posts).collect()} == {"n-11", "n-12", "short"}
+    posts, _ = read_topic_file(spark, feed_dir, "oil")
+    assert [r["post_id"] for r in good_posts(posts).collect()] == ["1"]
+    with pytest.raises(Exception):
+        read_topic_file(spark, feed_dir, "gas")
