@@ -66,7 +66,7 @@ def test_wrapped_notices_inside_longer_texts(spark):
     rows = [(k, f"#!/bin/sh\n{wrap(L.TEMPLATES[n], '# ')}\n{code}", "x") for k, n in enumerate(long)]
     rows += [(50, f"We say: {L.TEMPLATES['MIT/project']} And we go on with many other words after it.", "x"),
              (51, code, "x"), (52, f"{code}\n{wrap(L.TEMPLATES['ISC/text'], '// ')}\n{code}\n{wrap(L.TEMPLATES['ISC/text'], '// ')}", "x")]
-    got = _got(L.scan(spark.createDataFrame(rows, "doc_id long, text string, first_word int")))
+    got = _got(L.scan(spark.createDataFrame(rows, "doc_id long, text string, first_word string")))
     assert got == _want(rows)
     found = {(r[0], r[3]) for r in got if r[1] == -2}
     assert found >= {(k, n) for k, n in enumerate(long)} | {(50, "MIT/project"), (52, "ISC/text")}
