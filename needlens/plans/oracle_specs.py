@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from needlens.sources import sinks
+
 
 def add(q: dict[str, str], opp_cte: str) -> None:
     top = f"""
@@ -44,14 +46,16 @@ SELECT rank, source_cluster_id, skill_name, need_name, need_type, importance, sa
 FROM specs"""
 
     n = "(SELECT count(*) FROM specs)"
+    method = ", ".join(f"(10 + {n} + 3 + {n} * 1000 + {i}, '{line}')"
+                       for i, line in enumerate((sinks.METHOD_HEADER, *sinks.METHOD_LINES)))
     q["report_rows"] = top + f""",
 head(line_no, line) AS (
-  SELECT * FROM (VALUES (0, '# Skill 需求报告 events'), (1, ''),
+  SELECT * FROM (VALUES (0, '{sinks.TITLE.format(date="events")}'), (1, ''),
                         (2, '- 帖子总量：' || (SELECT count(*) FROM events) || ' 条'),
                         (3, '- 需求簇：' || (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) || ' 个'),
-                        (4, '- 输出 Skill：' || {n} || ' 个'), (5, ''), (6, '## Top Skill 需求'), (7, ''),
-                        (8, '| 排名 | Skill 名称 | 核心需求 | 机会分 | 趋势 | 原始话题 | L1 聚类标签 |'),
-                        (9, '|-----|-----------|---------|--------|------|--------|-----------|'))
+                        (4, '- 输出 Skill：' || {n} || ' 个'), (5, ''), (6, '{sinks.TOP_HEADER}'), (7, ''),
+                        (8, '{sinks.TABLE_HEAD}'),
+                        (9, '{sinks.TABLE_RULE}'))
 ),
 tbl AS (
   SELECT 10 + rank - 1 AS line_no,
@@ -62,25 +66,21 @@ tbl AS (
 ),
 mid AS (
   SELECT 10 + {n} AS line_no, '' AS line
-  UNION ALL SELECT 10 + {n} + 1, '## Skill 详情'
+  UNION ALL SELECT 10 + {n} + 1, '{sinks.DETAIL_HEADER}'
   UNION ALL SELECT 10 + {n} + 2, ''
 ),
 det AS (
   SELECT 10 + {n} + 3 + (rank - 1) * 1000 + i AS line_no, line FROM (
     SELECT rank, unnest(range(0, 9)) AS i,
-           unnest([ '### ' || skill_name, '**需求**：', '**原始话题**：' || event_type, '**L1 聚类标签**：—',
-                    '**画像**：', '**机会分**：' || CAST(final_score AS VARCHAR) || ' (importance='
+           unnest([ '### ' || skill_name, '{sinks.NEED}', '{sinks.TOPICS}' || event_type, '{sinks.LABELS}{sinks.EMPTY}',
+                    '{sinks.PERSONAS}', '{sinks.SCORE}' || CAST(final_score AS VARCHAR) || ' (importance='
                       || CAST(importance AS VARCHAR) || ', satisfaction=' || CAST(satisfaction AS VARCHAR) || ')',
-                    '**情绪**：' || event_type || ' (intensity=' || CAST(avg_intensity AS VARCHAR) || ')',
-                    '**证据**：', '' ]) AS line
+                    '{sinks.EMOTION}' || event_type || ' (intensity=' || CAST(avg_intensity AS VARCHAR) || ')',
+                    '{sinks.EVIDENCE}', '' ]) AS line
     FROM specs)
 ),
 tail(line_no, line) AS (
-  SELECT * FROM (VALUES (10 + {n} + 3 + {n} * 1000 + 0, '## 方法论'),
-    (10 + {n} + 3 + {n} * 1000 + 1, '- 数据：topic feeds (posts per topic, deduplicated, Latin script, > 20 characters)'),
-    (10 + {n} + 3 + {n} * 1000 + 2, '- 聚类：embedding → PCA → DBSCAN* (density) + c-TF-IDF keywords'),
-    (10 + {n} + 3 + {n} * 1000 + 3, '- NLP：pluggable batch answer function (offline lexicon default)'),
-    (10 + {n} + 3 + {n} * 1000 + 4, '- 评分：ODI Opportunity Score (Ulwick)'))
+  SELECT * FROM (VALUES {method})
 )
 SELECT CAST(line_no AS BIGINT) AS line_no, line FROM (
   SELECT * FROM head UNION ALL SELECT * FROM tbl UNION ALL SELECT * FROM mid
