@@ -163,3 +163,11 @@ def test_more_topics_than_fit_in_packed_numbers(spark, tmp_path):
     assert [r.ord for r in rows] == list(range(10_006))
     assert [r.post_id for r in rows[:7]] == ["0-0", "0-1", "1-0", "1-1", "2-0", "2-1", "0-0"] and rows[-1].post_id == "4999-1"
     assert states.count() == 5000
+
+
+def test_metrics_of_an_empty_run(spark):
+    from needlens.plans.run import run
+    posts = spark.createDataFrame([], "post_id string, text string, creator_id string, network string, topic string, ord long")
+    res = run(posts)
+    assert res.specs is None and {(r.metric, r.value) for r in res.metrics.collect()} == {
+        ("raw", 0), ("short", 0), ("non_latin", 0), ("kept", 0), ("unique", 0)}
