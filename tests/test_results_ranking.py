@@ -74,6 +74,23 @@ def test_global_row_number_matches_sort(spark):
     assert got == sorted(got, reverse=True) and out.agg(F.max("rank")).first()[0] == 1000
 
 
+def test_global_row_number_fits_its_partitions_to_the_data(spark):
+    """A handful of rows is not dealt over every shuffle partition of a large session."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.createDataFrame([(None,), (3,), (1,), (2,), (2,)], "k int").repartition(3, "k")
+        out = global_row_number(df, ["k"], [False], "rank")
+        assert [r["k"] for r in out.orderBy("rank").collect()] == [3, 2, 2, 1, None]
+        assert sorted(r["rank"] for r in out.collect()) == [1, 2, 3, 4, 5]
+        none = global_row_number(df.where("k > 9"), ["k"], [True], "rank")
+        assert none.collect() == [] and none.columns == ["k", "rank"]
+        wide = global_row_number(spark.range(0, 100000, 1, 16).select((F.col("id") * 7919 % 100000).alias("k")), ["k"], [True], "rank")
+        assert wide.where("rank != k + 1").isEmpty() and wide.rdd.getNumPartitions() < 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_top_n_stable(spark):
     df = spark.createDataFrame([(i, float(i % 3)) for i in range(10)], "first_ord long, score double")
     got = [(r["rank"], r["first_ord"]) for r in top_n(df, [F.desc("score"), F.asc("first_ord")], 3).collect()]
