@@ -10,7 +10,8 @@ distance, in the first table only in which it meets.
 
 Equal vectors are one point.  A bucket of more than ``BLOCK`` points is split into
 pairs of blocks, so no group is unbounded; buckets of one point are dropped before the
-vectors are moved.
+vectors are moved.  A block's pairs are screened by matrix products (``close_pairs``), some
+rows at a time.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from needlens.operators.metrictree import distances, distinct_points, matrix
+from needlens.operators.metrictree import close_pairs, distinct_points, matrix
 from needlens.operators.scratch import Scratch
 
-BLOCK = 512  # points of a block of one bucket
+BLOCK = 32768  # points of a block of one bucket
 WIDTH = 2.0  # width of a cell in units of eps
 HASHES = 4  # projections a table
 RECALL = 0.95
@@ -59,46 +60,58 @@ def _buckets(dim: int, w: float, hashes: int, tables: int, seed: int):
         mix = rng.integers(1, 1 << 62, (tables, hashes), dtype=np.int64) * 2 + 1
         for b in batches:
             if b.num_rows:
-                cells = np.floor((matrix(b.column("v")) @ axes + shift) / w).astype(np.int64)
+                x = matrix(b.column("v"))
+                cells = np.floor((x @ axes + shift) / w).astype(np.int64)
                 keys = (cells.reshape(-1, tables, hashes) * mix).sum(2)
                 keys ^= keys >> 29
                 packed = pa.array([k.astype("<i8").tobytes() for k in keys], pa.binary())
+                vecs = pa.array([v.astype("<f8").tobytes() for v in x], pa.binary())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * tables), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), packed, lists], ["id", "v", "all", "keys"])
+                yield pa.RecordBatch.from_arrays([b.column("id"), vecs, packed, lists], ["id", "vec", "all", "keys"])
     return run
 
 
-def _bucket_pairs(eps: float, tables: int):
+def _bucket_pairs(eps: float, tables: int, dim: int):
     """Pairs within ``eps`` of every (table, key, i, j), which come one after the other."""
     names = ("t", "key", "i", "j")
 
-    def pairs(rows):
-        x = np.array([r["v"] for r in rows])
-        ids = np.array([r["id"] for r in rows])
-        side = np.array([r["side"] for r in rows])
-        keys = np.frombuffer(b"".join(r["all"] for r in rows), "<i8").reshape(-1, tables)
-        t = rows[0]["t"]
-        a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        d = distances(x[a], x[b])
-        within = (side[a][:, None] == 2) & (side[b][None] == 2)
-        i, j = np.nonzero((d <= eps) & np.where(within, ids[a][:, None] < ids[b][None], ids[a][:, None] != ids[b][None]))
-        d, a, b = d[i, j], a[i], b[j]
-        first = ~(keys[a, :t] == keys[b, :t]).any(1) if t else np.ones(len(a), bool)
-        lo, hi = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-        return pa.RecordBatch.from_arrays([pa.array(lo[first]), pa.array(hi[first]), pa.array(d[first])], ["id_a", "id_b", "dist"])
+    def packed(parts, column, kind, width):
+        raw = b"".join(v for p in parts for v in p.column(column).to_pylist())
+        return np.frombuffer(raw, kind).reshape(-1, width)
+
+    def pairs(parts, t):
+        ids = np.concatenate([p.column("id").to_numpy() for p in parts])
+        if len(ids) < 2:
+            return
+        side = np.concatenate([p.column("side").to_numpy() for p in parts])
+        x, keys = packed(parts, "vec", "<f8", dim), packed(parts, "all", "<i8", tables)[:, :t]
+        whole = side[0] == 2  # a block with itself
+        a, b = (np.arange(len(ids)),) * 2 if whole else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        for i, j, d in close_pairs(x[a], x[b], eps, upper=bool(whole)):
+            i, j = a[i], b[j]
+            if t:
+                first = ~(keys[i] == keys[j]).any(1)
+                i, j, d = i[first], j[first], d[first]
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(d)],
+                                                 ["id_a", "id_b", "dist"])
 
     def run(batches):
         held, at = [], None
         for batch in batches:
-            for row in batch.to_pylist():
-                key = tuple(row[c] for c in names)
-                if key != at:
-                    if len(held) > 1:
-                        yield pairs(held)
-                    held, at = [], key
-                held.append(row)
-        if len(held) > 1:
-            yield pairs(held)
+            if not batch.num_rows:
+                continue
+            key = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in names])
+            cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, len(key)]
+            for start, end in zip(cuts[:-1], cuts[1:]):
+                now = tuple(int(c) for c in key[start])
+                if now != at:
+                    if held:
+                        yield from pairs(held, at[0])
+                    held, at = [], now
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from pairs(held, at[0])
     return run
 
 
@@ -114,7 +127,7 @@ def radius_pairs_lsh(df: DataFrame, id_col: str, vec_col: str, eps: float, recal
     first = points.select(F.size("v").alias("d")).first()
     dim = first["d"] if first else 0
     hashed = scratch.keep(points.select("id", "v").mapInArrow(
-        _buckets(dim, w, hashes, tables, seed), "id long, v array<double>, all binary, keys array<long>"), "hashed")
+        _buckets(dim, w, hashes, tables, seed), "id long, vec binary, all binary, keys array<long>"), "hashed")
     cells = hashed.select("id", F.posexplode("keys").alias("t", "key"))
     size = cells.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     size = scratch.keep(size.select("t", "key", F.ceil(F.col("size") / block).cast("int").alias("parts")), "sizes")
@@ -123,8 +136,8 @@ def radius_pairs_lsh(df: DataFrame, id_col: str, vec_col: str, eps: float, recal
         F.least(o, F.col("mine")).alias("i"), F.greatest(o, F.col("mine")).alias("j"),
         F.when(o == F.col("mine"), 2).when(o > F.col("mine"), 0).otherwise(1).alias("side")))
     met = met.select("id", "t", "key", F.explode(other).alias("p")).select("id", "t", "key", "p.i", "p.j", "p.side")
-    rows = met.join(hashed.select("id", "v", "all"), "id").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    found = scratch.keep(rows.mapInArrow(_bucket_pairs(eps, tables), "id_a long, id_b long, dist double"), "found")
+    rows = met.join(hashed.select("id", "vec", "all"), "id").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
+    found = scratch.keep(rows.mapInArrow(_bucket_pairs(eps, tables, dim), "id_a long, id_b long, dist double"), "found")
     several = points.where("n > 1").select(F.col("id").alias("rep"))
     if several.isEmpty():
         return found

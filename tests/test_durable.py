@@ -171,3 +171,37 @@ def test_metrics_of_an_empty_run(spark):
     res = run(posts)
     assert res.specs is None and {(r.metric, r.value) for r in res.metrics.collect()} == {
         ("raw", 0), ("short", 0), ("non_latin", 0), ("kept", 0), ("unique", 0)}
+
+
+def test_a_bucket_is_compared_as_a_whole():
+    """Rows of a bucket that arrive in several batches: the pairs of all its points, but for those that met in an
+    earlier table, some rows at a time."""
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    n, dim = 1200, 5
+    x, ids = rng.normal(size=(n, dim)), rng.permutation(10 * n)[:n]
+    keys = np.stack([rng.integers(0, 4, n), np.zeros(n, int)], 1)
+    side = np.where(np.arange(n) % 2 == 0, 0, 1)
+
+    def rows(t, j, side):
+        return pa.table({"t": [t] * n, "key": [7] * n, "i": [0] * n, "j": [j] * n, "side": side, "id": ids,
+                         "vec": [v.astype("<f8").tobytes() for v in x], "all": [k.astype("<i8").tobytes() for k in keys]})
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    table = pa.concat_tables([rows(1, 0, np.full(n, 2)), rows(1, 1, side)])
+    got = [r for b in lsh._bucket_pairs(1.5, 2, dim)(table.to_batches(max_chunksize=500)) for r in b.to_pylist()]
+    i, j = np.nonzero(np.triu((d <= 1.5) & (keys[:, None, 0] != keys[None, :, 0]), 1))
+    own = [(min(ids[a], ids[b]), max(ids[a], ids[b]), d[a, b]) for a, b in zip(i, j)]
+    across = [(p, q, w) for (p, q, w), a, b in zip(own, i, j) if side[a] != side[b]]
+    assert sorted((r["id_a"], r["id_b"], r["dist"]) for r in got) == sorted(own + across) and len(across) > 1000
+
+
+def test_embedding_leaves_the_other_columns_alone(spark):
+    from needlens.operators.embed import embed_with
+    ids = [2 ** 60 + 1, None, 3]
+
+    def lengths(texts):
+        assert len(texts) <= 2
+        return [[len(t), 1] for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in zip(ids, ("four", None, ""))], "ord long, text string").coalesce(1)
+    got = embed_with(df, "text", lengths, batch_size=2).collect()
+    assert [(r.ord, r.text, r.embedding) for r in got] == [(ids[0], "four", [4, 1]), (None, None, [0, 1]), (3, "", [0, 1])]
