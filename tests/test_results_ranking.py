@@ -91,6 +91,16 @@ def test_global_row_number_fits_its_partitions_to_the_data(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_global_row_number_is_a_projection_of_a_stage_table(spark):
+    """Counts of partitions without rows, and VARIANT columns, are carried; the result has no window, join or RDD."""
+    df = spark.createDataFrame([(x, '{"a": %d}' % x) for x in (5, 1, 9, 3)], "k int, doc string").select("k", F.parse_json("doc").alias("doc"))
+    out = global_row_number(df, ["k"], [True], "rank", n_partitions=8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(x in plan for x in ("Window", "Join", "LogicalRDD")) and "parquet" in plan
+    got = out.select("rank", "k", F.try_variant_get("doc", "$.a", "int").alias("a")).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(1, 1, 1), (2, 3, 3), (3, 5, 5), (4, 9, 9)]
+
+
 def test_top_n_stable(spark):
     df = spark.createDataFrame([(i, float(i % 3)) for i in range(10)], "first_ord long, score double")
     got = [(r["rank"], r["first_ord"]) for r in top_n(df, [F.desc("score"), F.asc("first_ord")], 3).collect()]
