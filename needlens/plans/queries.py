@@ -721,7 +721,9 @@ def single_topic_feed(spark, sf_dir):
     from needlens.sources.feeds import documents_as_topic_feed, good_posts, read_topic_feed
     path = _written_feed(spark, documents_as_topic_feed(load(spark, sf_dir, "documents"), F.lit("Every Source"), True))
     posts, states = read_topic_feed(spark, path, "every-source")
-    rows = good_posts(posts).join(states.select("topic", "velocity"), "topic")
+    # one state, that of the topic; the posts, whose stage table is far smaller in Spark's estimate than
+    # in fact (a few of its many fields are read), must not be the side that is broadcast
+    rows = good_posts(posts).join(F.broadcast(states.select("topic", "velocity")), "topic")
     return rows.select("post_id", "topic", "text", "network", "interactions", "sentiment_lc",
                        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "velocity")
 

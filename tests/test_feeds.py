@@ -117,3 +117,13 @@ def test_topic_file_reads_exactly_its_file(spark, feed_dir):
     assert [r["post_id"] for r in good_posts(posts).collect()] == ["1"]
     with pytest.raises(Exception):
         read_topic_file(spark, feed_dir, "gas")
+
+
+def test_the_posts_of_a_topic_are_never_broadcast(spark):
+    """The one state goes to the posts, whatever sizes Spark estimates."""
+    import re
+
+    from conftest import SF_SMALL
+    from needlens.plans.queries import QUERIES
+    plan = QUERIES["single_topic_feed"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert re.findall(r"BroadcastHashJoin \[topic#\d+\], \[topic#\d+\], Inner, (\w+)", plan) == ["BuildRight"]
